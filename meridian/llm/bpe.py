@@ -12,6 +12,7 @@ Null and empty texts give no ids. Repeated rows and repeated or null keys are en
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meridian.llm.common import blocks, broadcast_bytes, pack, prepare, ragged, sole, unpack
+from meridian.llm.common import blocks, broadcast_bytes, pack, partitions, prepare, ragged, sole, unpack
 from meridian.llm.pretoken import split
 
 
@@ -42,57 +43,85 @@ def _indexed(texts: list[str]) -> tuple[dict[str, int], list[np.ndarray]]:
     return words, out
 
 
-def _explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, rows in blocks(batches):
-        words = list(_indexed(rows.column("text").to_pylist())[0])
-        for i in range(0, len(words), 50_000):
-            part = words[i : i + 50_000]
-            yield pa.RecordBatch.from_pydict({"block": pa.array([block] * len(part), pa.string()), "idx": pa.array(np.arange(i, i + len(part), dtype=np.int32)), "word": pa.array(part, pa.string())})
+def _explode(buckets: int):
+    """A block's distinct words, dealt out by word: their places in the block's list, lengths and bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in blocks(batches):
+            words = [w.encode() for w in _indexed(rows.column("text").to_pylist())[0]]
+            to = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+            order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
+            order = order[np.argsort(to[order], kind="stable")]
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(to, minlength=buckets))])
+            full = [b for b in range(buckets) if cuts[b + 1] > cuts[b]]
+            blobs = []
+            for b in full:
+                idx = order[cuts[b] : cuts[b + 1]]
+                part = [words[i] for i in idx.tolist()]
+                blobs.append(pack(idx.astype(np.uint32), np.fromiter(map(len, part), np.uint32, len(part)), b"".join(part)))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block] * len(full), pa.string()), "bucket": pa.array(full, pa.int32()), "words": pa.array(blobs, pa.binary())})
+
+    return run
 
 
 def _layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, rows in blocks(batches):
         numbers = _indexed(rows.column("text").to_pylist())[1]
         flat = np.concatenate(numbers) if numbers else np.zeros(0, np.uint32)
-        planes = flat.view(np.uint8).reshape(-1, 4).T.copy()
         keys = rows.select([x for x in rows.schema.names if x != "text"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, keys.schema) as writer:
             writer.write_table(keys)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "layout": pa.array([pack(np.array([len(x) for x in numbers], np.uint32), planes, sink.getvalue().to_pybytes())], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "layout": pa.array([pack(np.array([len(x) for x in numbers], np.uint32), _planes(flat), sink.getvalue().to_pybytes())], pa.binary())})
 
 
 def _encoder(ranks_file):
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(rows: pa.Table) -> pa.Table:
         import public_tokenizers
         import tiktoken
 
         made = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(ranks_file.value), special_tokens={})
-        word, ids = None, b""  # rows come sorted by word: each distinct word is encoded once
-        for batch in batches:
-            out = []
-            for w in batch.column(2).to_pylist():
-                if w != word:
-                    word, ids = w, np.array(made.encode_ordinary(w), "<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["block", "idx", "ids"])
+        known: dict[bytes, bytes] = {}  # a word's rows all meet here: each distinct word is encoded once
+        out = []
+        for blob in rows.column("words").to_pylist():
+            idx, lengths, data = unpack(blob)
+            order = np.argsort(idx)
+            ends = np.cumsum(lengths, dtype=np.int64)
+            ids = []
+            for a, b in zip((ends - lengths)[order].tolist(), ends[order].tolist()):
+                word = data[a:b]
+                got = known.get(word)
+                if got is None:
+                    got = known[word] = np.array(made.encode_ordinary(word.decode()), "<u4").tobytes()
+                ids.append(got)
+            counts = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
+            out.append(pack(np.diff(idx[order], prepend=np.uint32(0)), counts, _planes(np.frombuffer(b"".join(ids), "<u4"))))
+        return pa.Table.from_arrays([rows.column("block"), pa.array(out, pa.binary())], names=["block", "ids"])
 
     return encode
 
 
+def _planes(x: np.ndarray) -> np.ndarray:
+    """The bytes of 32-bit numbers, all lowest ones first: they compress better."""
+    return x.view(np.uint8).reshape(-1, 4).T.copy()
+
+
+def _from_planes(x: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(x.T).reshape(-1).view("<u4") if x.size else np.zeros(0, "<u4")
+
+
 def _reassembler(schema: pa.Schema):
     def reassemble(key, layout: pa.Table, found: pa.Table) -> pa.Table:
         lengths, planes, keys = unpack(sole(layout.column("layout").to_pylist(), str(key[0])))
-        words = np.ascontiguousarray(planes.T).reshape(-1).view(np.uint32) if planes.size else np.zeros(0, np.uint32)
-        order = np.argsort(found.column("idx").to_numpy())
-        blobs = found.column("ids").combine_chunks()
-        blobs = blobs.take(pa.array(order)) if len(order) else blobs
-        if len(order) != (int(words.max()) + 1 if len(words) else 0):
-            raise RuntimeError(f"block {key[0]}: {len(order)} words came back")
-        blobs = blobs.to_pylist()
-        sizes = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
-        ids = np.frombuffer(b"".join(blobs), "<u4")
-        firsts = np.cumsum(sizes) - sizes
+        words = _from_planes(planes)
+        parts = [unpack(x) for x in found.column("ids").to_pylist()]
+        idx = np.concatenate([np.zeros(0, np.int64), *(np.cumsum(p[0], dtype=np.int64) for p in parts)])
+        if len(idx) != (int(words.max()) + 1 if len(words) else 0):
+            raise RuntimeError(f"block {key[0]}: {len(idx)} words came back")
+        counts = np.concatenate([np.zeros(0, np.int64), *(p[1].astype(np.int64) for p in parts)])
+        ids = np.concatenate([np.zeros(0, "<u4"), *(_from_planes(p[2]) for p in parts)])
+        sizes, firsts = np.zeros(len(idx), np.int64), np.zeros(len(idx), np.int64)
+        sizes[idx], firsts[idx] = counts, np.cumsum(counts) - counts
         flat = ids[ragged(firsts[words], sizes[words])] if len(words) else ids[:0]
         ends = np.concatenate([[0], np.cumsum(sizes[words])])[np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])]
         data = flat.astype("<u4").tobytes()
@@ -113,8 +142,8 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)
     with open(ranks_path, "rb") as f:
         ranks = broadcast_bytes(spark, f.read())
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    words = rows.mapInArrow(_explode, "block string, idx int, word string")
-    back = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(ranks), "block string, idx int, ids binary")
+    words = rows.mapInArrow(_explode(max(16, 2 * partitions(spark))), "block string, bucket int, words binary")
+    back = words.groupBy("bucket").applyInArrow(_encoder(ranks), "block string, ids binary")
     layout = rows.mapInArrow(_layout, "block string, layout binary")
     out = T.StructType([*rows.select(*keep).schema.fields, T.StructField("ids", T.BinaryType())])
     schema = to_arrow_schema(out)

@@ -22,7 +22,7 @@ ROOT = str(Path(__file__).resolve().parents[2])
 #: Most bytes that an operator may broadcast (vocabulary files, models).
 MAX_BROADCAST = 64 << 20
 #: Text bytes of a block of documents; a longer document is a block of its own.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
