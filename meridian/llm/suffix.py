@@ -37,10 +37,10 @@ from meridian.llm.common import blocks, pack, partitions, prepare, ragged, sole,
 
 WIDTH, GRAM = 100, 32
 #: Segments under one anchor from which on their windows are dealt out by hash instead.
-WIDE = 4096
+WIDE = 512
 #: Bytes that are hashed at once.
 PIECE = 1 << 20
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _NONE = -(1 << 63)
 U = np.uint64
@@ -250,22 +250,32 @@ def _meet(wide: int):
     return run
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, rows in blocks(batches, BLOCK):
-        data, bounds, ids = _buffer(rows)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "data": pa.array([pack(data.tobytes(), bounds, ids)], pa.binary())})
+def _texts(keep: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in blocks(batches, BLOCK):
+            data, bounds, ids = _buffer(rows)
+            carried = b""
+            if keep:
+                sink = pa.BufferOutputStream()
+                others = rows.drop_columns(["doc_id", "text"])
+                with pa.ipc.new_stream(sink, others.schema) as writer:
+                    writer.write_table(others)
+                carried = sink.getvalue().to_pybytes()
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "data": pa.array([pack(data.tobytes(), bounds, ids, carried)], pa.binary())})
 
+    return run
 
-def _open(texts: pa.Table, key) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data, bounds, ids = unpack(sole(texts.column("data").to_pylist(), str(key[0])))
-    return np.frombuffer(data, np.uint8), bounds, ids
+
+def _open(texts: pa.Table, key) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    data, bounds, ids, carried = unpack(sole(texts.column("data").to_pylist(), str(key[0])))
+    return np.frombuffer(data, np.uint8), bounds, ids, carried
 
 
 def _fetch(width: int, gram: int, buckets: int):
     def run(key, text: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows:
             return pa.Table.from_batches([_row([], [], [], [])])
-        data, bounds, ids = _open(text, key)
+        data, bounds, ids, _ = _open(text, key)
         s, count, p, g, whole = segments(data, bounds, width, gram)
         out, block = [], str(key[0])
         for wanted in (FETCH, SPREAD):
@@ -510,11 +520,9 @@ def _compare(width: int):
 KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
 
-def _cut(width: int):
-    schema = to_arrow_schema(KEPT)
-
+def _cut(width: int, schema: pa.Schema):
     def run(key, text: pa.Table, found: pa.Table) -> pa.Table:
-        data, bounds, ids = _open(text, key)
+        data, bounds, ids, carried = _open(text, key)
         change = np.zeros(len(data) + 1, np.int32)
         for blob in found.column("blob").to_pylist():
             at, count = unpack(blob)
@@ -530,26 +538,31 @@ def _cut(width: int):
         left = data[~gone].tobytes()
         ends = bounds - total
         kept = [left[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        return pa.Table.from_arrays([pa.array([None if x == _NONE else x for x in ids.tolist()], pa.int64()), pa.array(np.diff(bounds)), pa.array(np.diff(total)), pa.array(np.diff(spans)), pa.array(kept, pa.binary())], schema=schema)
+        others = pa.ipc.open_stream(carried).read_all().columns if carried else []
+        return pa.Table.from_arrays([*others, pa.array([None if x == _NONE else x for x in ids.tolist()], pa.int64()), pa.array(np.diff(bounds)), pa.array(np.diff(total)), pa.array(np.diff(spans)), pa.array(kept, pa.binary())], schema=schema)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and the kept bytes of each row of docs (doc_id, text; others are not read).
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``keep`` columns, doc_id, n_bytes, n_removed, n_spans and the kept bytes of each row of docs; others are not read.
 
     docs must give the same rows in the same order each time it is read; otherwise the query fails.
     """
     if not 8 <= gram <= width <= 255:
         raise ValueError("8 <= gram <= width <= 255")
     spark = prepare(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if {"doc_id", "text", *KEPT.names} & set(keep):
+        raise ValueError("keep names a column that is made here")
     buckets = max(16, 2 * partitions(spark))
-    text = rows.mapInArrow(_texts, "block string, data binary")
+    schema = T.StructType([*rows.schema.fields[: len(keep)], *KEPT.fields])
+    text = rows.mapInArrow(_texts(False), "block string, data binary")
+    carried = rows.mapInArrow(_texts(True), "block string, data binary") if keep else text
     met = rows.mapInArrow(_anchors(width, gram, buckets), ROWS).groupBy("bucket").applyInArrow(_meet(wide), ROWS)
     met = written(met, "suffix-met")
     fetched = text.groupBy("block").cogroup(met.filter(F.col("kind") != WHOLE).groupBy("block")).applyInArrow(_fetch(width, gram, buckets), ROWS)
     # what is told off already only passes through; it is dealt out by block
     compared = fetched.withColumn("bucket", F.when(F.col("kind") == PARTIAL, F.pmod(F.hash("block"), F.lit(buckets))).otherwise(F.col("bucket"))).groupBy("bucket").applyInArrow(_compare(width), ROWS)
     gone = met.filter(F.col("kind") == WHOLE).unionByName(compared)
-    return text.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_cut(width), KEPT)
+    return carried.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_cut(width, to_arrow_schema(schema)), schema)
