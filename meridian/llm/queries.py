@@ -6,7 +6,28 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm.common import table
+from meridian.llm.common import crc_of_id, table
+
+
+#: Weak categories of the labelled documents: which words a toxic document holds.
+INSULTS = ("idiot", "moron", "stupid", "loser", "clown")
+CONTEMPT = ("trash", "scum", "pathetic", "worthless", "disgusting")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents by a chain: insults, contempt, other, and last whether it is toxic at all."""
+    from meridian.llm import toxicity
+
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    is_toxic, holds = F.col("toxic") == 1, lambda ws: F.lower("text").rlike(rf"\b({'|'.join(ws)})\b")
+    categories = {
+        "insult": is_toxic & holds(INSULTS),
+        "contempt": is_toxic & holds(CONTEMPT),
+        "other": is_toxic & ~holds(INSULTS + CONTEMPT),
+        "toxic": is_toxic,
+    }
+    models = toxicity.train(docs, labels.select("doc_id", "toxic"), categories)
+    return toxicity.score(docs, models, list(categories))
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +39,34 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that texts of documents hold, with the least number of edits."""
+    from meridian.llm import decontaminate
+
+    flagged = decontaminate.flag(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return flagged.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.item_id", "leak.distance")
+
+
+def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every text of documents."""
+    from meridian.llm import mil
+
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(F.pmod(crc_of_id(), F.lit(5)) != 0)
+    out = mil.score(docs, mil.train(docs, labels))
+    return out.select("doc_id", (F.pmod(crc_of_id(), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text of documents."""
+    from meridian.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(crc_of_id(), F.lit(4)) == 2
+    out = langid.identify(docs, langid.train(docs.filter(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text of documents without its repeated 100-byte strings."""
     from meridian.llm import suffix
@@ -26,9 +75,45 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {
-    "op2_byte_bpe": op2_byte_bpe,
-    "op6_suffix_dedup": op6_suffix_dedup,
-}
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of documents as ids in files, read back."""
+    from meridian.llm import tokens
 
-ORACLES: dict[str, str] = {}
+    return tokens.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back through the index."""
+    from meridian.llm import warc
+
+    return warc.write_and_read(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts of documents and the components of those that are near."""
+    from meridian.llm import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every text of documents and whether the decision list keeps it."""
+    from meridian.llm import rules
+
+    out = rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_quality_mil, op5_language_id, op6_suffix_dedup, op7_token_files, op8_warc, op9_simhash, op10_quality_rules)}
+
+#: Base 32 of a SHA-1 digest in hex: each five hex digits are four letters.
+_BASE32 = """array_to_string(list_transform(range(0, 8), k -> array_to_string(list_transform([15, 10, 5, 0], s ->
+ substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(sha, CAST(5 * k + 1 AS INT), 5) AS BIGINT) >> s) & 31)::INT, 1)), '')), '')"""
+
+ORACLES: dict[str, str] = {
+    "op8_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+ q AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+ CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+ CASE WHEN page_id <> first THEN first END AS refers_to FROM q""",
+}
