@@ -27,9 +27,9 @@ from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
 from meridian.llm.suffix import Prefix, mix
 
 #: Edits allowed for each byte of an item.
-RATE = 0.05
+RATE = 0.08
 #: Bytes of a piece that are looked up by hash; pieces are at least as long.
-SEED_BYTES = 16
+SEED_BYTES = 12
 LEAST = 32
 #: Bytes of items that are matched at once.
 ITEM_BLOCK = 4 << 20
@@ -65,7 +65,7 @@ def distance(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     for i, c in enumerate(pattern):
         peq[c] |= 1 << i
     full, high = (1 << m) - 1, 1 << (m - 1)
-    pv, mv, score, best, end = full, 0, m, most + 1, -1
+    pv, mv, score, best, end = full, 0, m, m, 0
     for j, c in enumerate(text):
         eq = peq.get(c, 0)
         xv = eq | mv
