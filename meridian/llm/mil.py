@@ -94,7 +94,7 @@ def passages(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     out[:, N_KINDS + 4] = np.log1p(sizes[doc]) / 8
     pair = (((data[:-1].astype(np.uint32) * 31 + data[1:]) * 2654435761) >> 27).astype(np.int64) % PAIRS
     owner = np.repeat(np.arange(len(doc)), end - begin)
-    apart = bounds[1:-1]
+    apart = bounds[1:]
     pair[apart[apart > 0] - 1] = PAIRS  # the pair across two documents counts for neither
     found = np.bincount(owner * (PAIRS + 1) + pair, minlength=len(doc) * (PAIRS + 1)).reshape(len(doc), PAIRS + 1)[:, :PAIRS]
     out[:, N_KINDS + 5 :] = found / length[:, None] * 8
