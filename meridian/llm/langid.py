@@ -24,8 +24,8 @@ from pyspark.sql import types as T
 
 from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
 
-DOCS, EXCERPT, DICTIONARY = 200, 2000, 100_000
-CHUNK, LEVEL = 16 << 10, 1
+DOCS, EXCERPT, DICTIONARY = 800, 300, 120_000
+CHUNK, LEVEL = 2 << 10, 9
 #: Least share by which the second encoding must be larger.
 MARGIN = 0.01
 MOST_LANGUAGES = 500
