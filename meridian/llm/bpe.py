@@ -23,32 +23,19 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from meridian.llm.common import blocks, broadcast_bytes, pack, partitions, prepare, ragged, sole, unpack
-from meridian.llm.pretoken import split
+from meridian.llm.pretoken import distinct
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def _indexed(texts: list[str]) -> tuple[dict[str, int], list[np.ndarray]]:
-    """The block's distinct words in order of appearance, and each text as numbers of words."""
-    words: dict[str, int] = {}
-    out = []
-    for text in texts:
-        pieces = split(text or "")
-        for w in pieces:
-            if w not in words:
-                words[w] = len(words)
-        out.append(np.fromiter(map(words.__getitem__, pieces), np.uint32, len(pieces)))
-    return words, out
-
-
 def _explode(buckets: int):
     """A block's distinct words, dealt out by word: their places in the block's list, lengths and bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in blocks(batches):
-            words = [w.encode() for w in _indexed(rows.column("text").to_pylist())[0]]
+            words = [w.encode() for w in distinct([t or "" for t in rows.column("text").to_pylist()])[0]]
             to = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
             order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
             order = order[np.argsort(to[order], kind="stable")]
@@ -66,13 +53,12 @@ def _explode(buckets: int):
 
 def _layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block, rows in blocks(batches):
-        numbers = _indexed(rows.column("text").to_pylist())[1]
-        flat = np.concatenate(numbers) if numbers else np.zeros(0, np.uint32)
+        _, flat, counts = distinct([t or "" for t in rows.column("text").to_pylist()])
         keys = rows.select([x for x in rows.schema.names if x != "text"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, keys.schema) as writer:
             writer.write_table(keys)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "layout": pa.array([pack(np.array([len(x) for x in numbers], np.uint32), _planes(flat), sink.getvalue().to_pybytes())], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "layout": pa.array([pack(counts.astype(np.uint32), _planes(flat), sink.getvalue().to_pybytes())], pa.binary())})
 
 
 def _encoder(ranks_file):
