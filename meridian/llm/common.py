@@ -18,6 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Python workers use one core each and give freed memory back.
+WORKER = {"TOKENIZERS_PARALLELISM": "false", "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": str(32 << 20)}
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Most bytes that an operator may broadcast (vocabulary files, models).
 MAX_BROADCAST = 64 << 20
@@ -30,6 +32,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, path) if x)
+    for key, value in WORKER.items():
+        spark.sparkContext.environment.setdefault(key, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return spark
 

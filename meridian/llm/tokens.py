@@ -13,6 +13,7 @@ equal doc_ids are ordered by text, null doc_ids come first.
 
 from __future__ import annotations
 
+import functools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -23,8 +24,8 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import broadcast_bytes, fresh_dir, partitions, prepare, written
-from meridian.llm.pretoken import split
+from meridian.llm.common import broadcast_bytes, fresh_dir, partitions, prepare, ragged, written
+from meridian.llm.pretoken import distinct
 
 #: Ids in a sequence, sequences in a batch.
 LENGTH, BATCH = 1024, 256
@@ -38,7 +39,7 @@ def file_schema(wide: bool, length: int) -> pa.Schema:
 
 
 class Words:
-    """Ids of texts: each pre-token goes through the tokenizer once and is remembered."""
+    """Ids of texts: the distinct pre-tokens of a batch go through the tokenizer, and MEMORY of them are remembered."""
 
     def __init__(self, data: bytes, kind: str):
         from tokenizers import Tokenizer
@@ -48,17 +49,30 @@ class Words:
         self.kind = kind
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [split(t) for t in texts]
-        known = self.known
-        if len(known) > MEMORY:
-            known.clear()
-        new = list({w for p in pieces for w in p if w not in known})
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts and how many each has."""
+        words, numbers, pieces = distinct(texts)
+        known, fresh = self.known, {}
+        new = [w for w in words if w not in known]
+        for i in range(0, len(new), 5000):
+            part = new[i : i + 5000]
             for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, self.kind).tobytes()
-        return [b"".join([known[w] for w in p]) for p in pieces]
+                fresh[w] = np.array(e.ids, self.kind).tobytes()
+        found = [known[w] if w in known else fresh[w] for w in words]
+        if len(known) < MEMORY:
+            known.update(fresh)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // np.dtype(self.kind).itemsize
+        ids = np.frombuffer(b"".join(found), self.kind)
+        begins = np.cumsum(sizes) - sizes
+        each = sizes[numbers]
+        ends = np.concatenate([[0], np.cumsum(each)])[np.concatenate([[0], np.cumsum(pieces)])]
+        return ids[ragged(begins[numbers], each)], np.diff(ends)
+
+
+@functools.lru_cache(1)
+def _words(data: bytes, kind: str) -> Words:
+    """One for a Python worker, which may run many tasks."""
+    return Words(data, kind)
 
 
 class SequenceWriter:
@@ -116,18 +130,18 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, le
         fs, root = pa.fs.FileSystem.from_uri(folder)
         fs.create_dir(root, recursive=True)
         name, own = f"part-{part:06d}", uuid.uuid4().hex
-        words, end = Words(shared.value, kind), np.array([end_id], kind)
+        words, end = _words(shared.value, kind), np.array([end_id], kind)
         ids, sizes = [], []
         with fs.open_output_stream(f"{root}/.{name}-{own}.arrows") as sink:
             out = SequenceWriter(sink, schema, length, batch)
             for rows in (b for bs in ([first], batches) for b in bs):
-                for i in range(0, rows.num_rows, 200):
-                    some = rows.slice(i, 200)
-                    for doc, raw in zip(some.column(0).to_pylist(), words.encode([x or "" for x in some.column(1).to_pylist()])):
-                        flat = np.concatenate([np.frombuffer(raw, kind), end])
-                        out.add(flat)
-                        ids.append(doc)
-                        sizes.append(len(flat))
+                for i in range(0, rows.num_rows, 1000):
+                    some = rows.slice(i, 1000)
+                    flat, sizes_ = words.encode([x or "" for x in some.column(1).to_pylist()])
+                    ends = np.cumsum(sizes_)
+                    out.add(np.insert(flat, ends, end))
+                    ids += some.column(0).to_pylist()
+                    sizes += (sizes_ + 1).tolist()
             out.close()
         counts = np.array(sizes, np.int64)
         index = pa.table({"doc_id": pa.array(ids, pa.int64()), "start": np.cumsum(counts) - counts, "n_tokens": counts})
@@ -168,13 +182,12 @@ def read(manifest: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pa.fs.FileSystem.from_uri(folder)
         for rows in batches:
-            for name, before, wide in zip(*(c.to_pylist() for c in rows.columns)):
+            for name, before in zip(*(c.to_pylist() for c in rows.columns)):
                 with fs.open_input_file(f"{root}/{name}.index") as f:
                     index = pa.ipc.open_stream(f).read_all()
                 sizes = index.column("n_tokens").to_numpy()
                 with fs.open_input_file(f"{root}/{name}.arrows") as f:
                     stream = pa.ipc.open_stream(f)
-                    pending = np.zeros(0, np.uint32 if wide else np.uint16)
                     crcs, doc, left, crc = [], 0, int(sizes[0]) if len(sizes) else 0, 0
                     for b in stream:
                         flat = b.column(0).flatten().to_numpy()
@@ -189,7 +202,6 @@ def read(manifest: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
                                 crcs.append(crc)
                                 doc, crc = doc + 1, 0
                                 left = int(sizes[doc]) if doc < len(sizes) else 0
-                    del pending
                 if len(crcs) != len(sizes):
                     raise RuntimeError(f"{name} holds {len(crcs)} of {len(sizes)} documents")
                 starts = index.column("start").to_numpy() + before
@@ -198,7 +210,7 @@ def read(manifest: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
 
     # one row for each file: a window over so few is no burden
     total = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    files = manifest.select("file", F.coalesce(total, F.lit(0)).cast("long").alias("before"), "wide")
+    files = manifest.select("file", F.coalesce(total, F.lit(0)).cast("long").alias("before"))
     return files.repartition(max(partitions(spark), 1), "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
