@@ -89,7 +89,9 @@ def passages(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         fresh = np.ones(len(words), bool)
         fresh[1:] = (words[order][1:] != words[order][:-1]) | (owner[order][1:] != owner[order][:-1])
         out[:, N_KINDS + 1] = np.bincount(owner[order], weights=fresh, minlength=len(doc)) / n
-        out[:, N_KINDS + 2] = length / n / 10
+    else:
+        n = np.ones(len(doc))
+    out[:, N_KINDS + 2] = length / n / 10
     out[:, N_KINDS + 3] = np.log1p(length) / 6
     out[:, N_KINDS + 4] = np.log1p(sizes[doc]) / 8
     pair = (((data[:-1].astype(np.uint32) * 31 + data[1:]) * 2654435761) >> 27).astype(np.int64) % PAIRS
