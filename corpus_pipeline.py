@@ -27,15 +27,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated 100-byte strings out of the texts; a character of which only a part is left goes too."""
+    """Cuts repeated 100-byte strings out of the texts; a character of which only a part is left goes too.
+    n_chars, where documents have it, counts the new text."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    return _as_text(suffix.remove_repeats(docs, keep=others)).select(*docs.columns)
-
-
-def _as_text(cut: DataFrame) -> DataFrame:
-    """The kept bytes as text: whole UTF-8 characters only; n_chars, where documents have it, counts the new text."""
-    out = cut.withColumn("text", F.regexp_replace(F.decode("kept", "UTF-8"), "�", ""))
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in cut.columns else out
+    out = suffix.remove_repeats(docs, keep=others, as_text=True).withColumn("text", F.col("kept"))
+    return (out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in others else out).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

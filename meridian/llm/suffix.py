@@ -520,7 +520,7 @@ def _compare(width: int):
 KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
 
-def _cut(width: int, schema: pa.Schema):
+def _cut(width: int, schema: pa.Schema, as_text: bool):
     def run(key, text: pa.Table, found: pa.Table) -> pa.Table:
         data, bounds, ids, carried = _open(text, key)
         change = np.zeros(len(data) + 1, np.int32)
@@ -539,14 +539,16 @@ def _cut(width: int, schema: pa.Schema):
         ends = bounds - total
         kept = [left[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         others = pa.ipc.open_stream(carried).read_all().columns if carried else []
-        return pa.Table.from_arrays([*others, pa.array([None if x == _NONE else x for x in ids.tolist()], pa.int64()), pa.array(np.diff(bounds)), pa.array(np.diff(total)), pa.array(np.diff(spans)), pa.array(kept, pa.binary())], schema=schema)
+        return pa.Table.from_arrays([*others, pa.array([None if x == _NONE else x for x in ids.tolist()], pa.int64()), pa.array(np.diff(bounds)), pa.array(np.diff(total)), pa.array(np.diff(spans)), pa.array([k.decode("utf-8", "ignore") for k in kept] if as_text else kept, schema.field("kept").type)], schema=schema)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, keep: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """``keep`` columns, doc_id, n_bytes, n_removed, n_spans and the kept bytes of each row of docs; others are not read.
 
+    as_text: ``kept`` is a string of the whole characters that are left; of a character cut in two nothing stays.
+
     docs must give the same rows in the same order each time it is read; otherwise the query fails.
     """
     if not 8 <= gram <= width <= 255:
@@ -556,7 +558,8 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide:
     if {"doc_id", "text", *KEPT.names} & set(keep):
         raise ValueError("keep names a column that is made here")
     buckets = max(16, 2 * partitions(spark))
-    schema = T.StructType([*rows.schema.fields[: len(keep)], *KEPT.fields])
+    last = T.StructField("kept", T.StringType() if as_text else T.BinaryType())
+    schema = T.StructType([*rows.schema.fields[: len(keep)], *KEPT.fields[:-1], last])
     text = rows.mapInArrow(_texts(False), "block string, data binary")
     carried = rows.mapInArrow(_texts(True), "block string, data binary") if keep else text
     met = rows.mapInArrow(_anchors(width, gram, buckets), ROWS).groupBy("bucket").applyInArrow(_meet(wide), ROWS)
@@ -565,4 +568,4 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide:
     # what is told off already only passes through; it is dealt out by block
     compared = fetched.withColumn("bucket", F.when(F.col("kind") == PARTIAL, F.pmod(F.hash("block"), F.lit(buckets))).otherwise(F.col("bucket"))).groupBy("bucket").applyInArrow(_compare(width), ROWS)
     gone = met.filter(F.col("kind") == WHOLE).unionByName(compared)
-    return carried.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_cut(width, to_arrow_schema(schema)), schema)
+    return carried.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_cut(width, to_arrow_schema(schema), as_text), schema)

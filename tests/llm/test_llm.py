@@ -44,6 +44,15 @@ def test_pieces_are_the_patterns_matches(text):
     assert pretoken.split(text) == regex.findall(P.PATTERN, text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab's \n1é!"), max_size=12), max_size=5), st.booleans())
+def test_distinct_pieces(texts, long):
+    words, numbers, counts = pretoken._by_strings(texts) if long else pretoken.distinct(texts)
+    flat = [w for t in texts for w in regex.findall(P.PATTERN, t)]
+    assert words == list(dict.fromkeys(flat)) and [words[n] for n in numbers] == flat
+    assert counts.tolist() == [len(regex.findall(P.PATTERN, t)) for t in texts]
+
+
 def encoding():
     import tiktoken
 
@@ -101,10 +110,16 @@ def made_up(seed):
 @pytest.mark.parametrize("width, gram, wide, seed", [(100, 32, 512, 1), (100, 32, 3, 2), (40, 12, 512, 3), (40, 12, 2, 4)])
 def test_suffix_removal(spark, width, gram, wide, seed):
     rows = made_up(seed)
-    got = suffix.remove_repeats(docs(spark, rows).repartition(3), width, gram, wide) if False else suffix.remove_repeats(docs(spark, rows), width, gram, wide)
+    got = suffix.remove_repeats(docs(spark, rows), width, gram, wide)
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()), key=repr) == sorted(plain_repeats(rows, width), key=repr)
 
 
+def test_suffix_as_text(spark):
+    rows = [(1, "é" * 60 + "x" * 99), (2, "a" + "é" * 55 + "ñ" * 30), (3, "ü" + "é" * 60)]
+    got = {r.doc_id: r.kept for r in suffix.remove_repeats(docs(spark, rows), as_text=True, keep=("lang",)).collect()}
+    assert got == {i: kept.decode("utf-8", "ignore") for i, *_, kept in plain_repeats(rows)}
+
+
 def test_suffix_pieces_and_blocks(spark, monkeypatch):
     rows = made_up(9)
     parts = [(np.frombuffer((t or "").encode(), np.uint8)) for _, t in rows]
@@ -327,7 +342,8 @@ def test_held_out_toxicity(spark):
     df = common.table(spark, sf, "documents")
     held = F.pmod(common.crc_of_id(), F.lit(4)) == 0
     models = toxicity.train(df, labels.filter(~held).select("doc_id", "toxic"), {"toxic": F.col("toxic") == 1}, sample=2500)
-    r = toxicity.score(df, models, ["toxic"]).join(labels, "doc_id").filter(held).agg(F.avg((F.col("toxic") == (labels.toxic == 1)).cast("int")) if False else F.count_if((F.col("p_toxic") >= 0.5) == (labels.toxic == 1)).alias("ok"), F.count("*").alias("n")).first()
+    right = (F.col("p_toxic") >= 0.5) == (labels.toxic == 1)
+    r = toxicity.score(df, models, ["toxic"]).join(labels, "doc_id").filter(held).agg(F.count_if(right).alias("ok"), F.count("*").alias("n")).first()
     assert r.ok / r.n > 0.95
 
 
