@@ -13,8 +13,9 @@ the same one. Strings are judged on the input and never cross documents.
    search over prefix polynomial hashes, in logarithmic steps. Neighbours' extensions and the hashes of what stands
    left of the anchor tell which windows are equal; the bytes of each pair so found are compared, and a hash that
    lied is settled by the bytes themselves.
-4. Anchors that very many different segments share (the edges of a passage that a large part of the documents has)
-   are not sorted in one task: their windows are dealt out by 128 bits of hash, copies within a block told off first.
+4. Anchors that very many different segments share (a line or the edges of a passage that a large part of the documents
+   has) are not met or sorted in one task: their windows are dealt out by 128 bits of hash, copies within a block told
+   off first. A block that finds LOCAL of them sends the anchor's mark only, which makes all other blocks do the same.
 
 Null and empty texts have no bytes. Texts under ``width`` bytes lose nothing. Rows that repeat a doc_id are told apart
 by place only: of two rows with the same doc_id neither is earlier, except where a string starts earlier in the text.
@@ -38,8 +39,11 @@ from meridian.llm.common import blocks, pack, partitions, prepare, ragged, sole,
 WIDTH, GRAM = 100, 32
 #: Segments under one anchor from which on their windows are dealt out by hash instead.
 WIDE = 512
+#: The same within one block: such segments do not even meet by anchor.
+LOCAL = 32
 #: Bytes that are hashed at once.
 PIECE = 1 << 20
+#: Text bytes of a block of documents.
 BLOCK = 8 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _NONE = -(1 << 63)
@@ -172,12 +176,12 @@ def _row(block: list, kind: list, bucket: list, blob: list) -> pa.RecordBatch:
 
 
 ROWS = "block string, kind int, bucket int, blob binary"
-SEGMENTS, WHOLE, FETCH, SPREAD, BYTES, WINDOWS, PARTIAL = range(7)
+SEGMENTS, WHOLE, FETCH, SPREAD, BYTES, WINDOWS, PARTIAL, MARK = range(8)
 
 
-def _anchors(width: int, gram: int, buckets: int):
+def _anchors(width: int, gram: int, buckets: int, local: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (block, rows) in enumerate(blocks(batches, BLOCK)):
+        for number, (block, rows) in enumerate(blocks(batches, size)):
             data, bounds, ids = _buffer(rows)
             s, count, _, g, whole = segments(data, bounds, width, gram)
             where = np.searchsorted(bounds, s, side="right") - 1
@@ -185,6 +189,14 @@ def _anchors(width: int, gram: int, buckets: int):
             gone = np.sort(order[later])
             out = [(block, WHOLE, number % buckets, pack(s[gone].astype(np.uint32), count[gone].astype(np.uint8)))] if len(gone) else []
             left = np.sort(order[~later])
+            _, place, many = np.unique(g[left], return_inverse=True, return_counts=True)
+            hot = many[place] >= local
+            if hot.any():
+                out.append((block, SPREAD, number % buckets, pack(s[left[hot]].astype(np.uint32), count[left[hot]].astype(np.uint8))))
+                marks = np.unique(g[left[hot]])
+                for b in np.unique((marks >> U(16)) % U(buckets)).tolist():
+                    out.append((block, MARK, int(b), pack(_low6(marks[(marks >> U(16)) % U(buckets) == U(b)]))))
+                left = left[~hot]
             to = (g[left] >> U(16)) % U(buckets)
             by = np.argsort(to, kind="stable")
             cuts = np.concatenate([[0], np.cumsum(np.bincount(to.astype(np.int64), minlength=buckets))])
@@ -218,8 +230,11 @@ def _open_documents(ids: np.ndarray, starts: np.ndarray, rows: np.ndarray) -> tu
 def _meet(wide: int):
     def run(rows: pa.Table) -> pa.Table:
         out = []
-        parts, names = [], []
+        parts, names, marks = [], [], [np.zeros(0, U)]
         for block, kind, blob in zip(rows.column("block").to_pylist(), rows.column("kind").to_pylist(), rows.column("blob").to_pylist()):
+            if kind == MARK:
+                marks.append(_from6(unpack(blob)[0]))
+                continue
             if kind != SEGMENTS:
                 out.append((block, kind, 0, blob))
                 continue
@@ -238,7 +253,7 @@ def _meet(wide: int):
             kinds = np.full(len(s), -1, np.int8)
             kinds[order[later]] = WHOLE
             kinds[reps[shared > 1]] = FETCH
-            kinds[reps[shared > wide]] = SPREAD
+            kinds[reps[(shared > wide) | np.isin(g[reps], np.concatenate(marks))]] = SPREAD
             for i in np.unique(block):
                 for kind in (WHOLE, FETCH, SPREAD):
                     pick = np.flatnonzero((block == i) & (kinds == kind))
@@ -250,9 +265,9 @@ def _meet(wide: int):
     return run
 
 
-def _texts(keep: bool):
+def _texts(keep: bool, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in blocks(batches, BLOCK):
+        for block, rows in blocks(batches, size):
             data, bounds, ids = _buffer(rows)
             carried = b""
             if keep:
@@ -544,7 +559,7 @@ def _cut(width: int, schema: pa.Schema, as_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, keep: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, local: int = LOCAL, keep: tuple[str, ...] = (), as_text: bool = False, block_bytes: int = BLOCK) -> DataFrame:
     """``keep`` columns, doc_id, n_bytes, n_removed, n_spans and the kept bytes of each row of docs; others are not read.
 
     as_text: ``kept`` is a string of the whole characters that are left; of a character cut in two nothing stays.
@@ -560,9 +575,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide:
     buckets = max(16, 2 * partitions(spark))
     last = T.StructField("kept", T.StringType() if as_text else T.BinaryType())
     schema = T.StructType([*rows.schema.fields[: len(keep)], *KEPT.fields[:-1], last])
-    text = rows.mapInArrow(_texts(False), "block string, data binary")
-    carried = rows.mapInArrow(_texts(True), "block string, data binary") if keep else text
-    met = rows.mapInArrow(_anchors(width, gram, buckets), ROWS).groupBy("bucket").applyInArrow(_meet(wide), ROWS)
+    text = rows.mapInArrow(_texts(False, block_bytes), "block string, data binary")
+    carried = rows.mapInArrow(_texts(True, block_bytes), "block string, data binary") if keep else text
+    met = rows.mapInArrow(_anchors(width, gram, buckets, local, block_bytes), ROWS).groupBy("bucket").applyInArrow(_meet(wide), ROWS)
     met = written(met, "suffix-met")
     fetched = text.groupBy("block").cogroup(met.filter(F.col("kind") != WHOLE).groupBy("block")).applyInArrow(_fetch(width, gram, buckets), ROWS)
     # what is told off already only passes through; it is dealt out by block
