@@ -12,6 +12,7 @@ Null and empty texts give no ids. Repeated rows and repeated or null keys are en
 from __future__ import annotations
 
 import base64
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meridian.llm.common import blocks, broadcast_bytes, pack, partitions, prepare, ragged, sole, unpack
+from meridian.llm.common import BLOCK_BYTES, blocks, broadcast_bytes, pack, partitions, prepare, ragged, sole, unpack
 from meridian.llm.pretoken import distinct
 
 
@@ -30,11 +31,29 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
 
-def _explode(buckets: int):
+@functools.lru_cache(1)
+def _encoding(data: bytes):
+    """One for a Python worker, which runs many tasks."""
+    import public_tokenizers
+    import tiktoken
+
+    return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(data), special_tokens={})
+
+
+@functools.lru_cache(1)
+def _token_bytes(data: bytes) -> list[bytes]:
+    found = read_ranks(data)
+    table = [b""] * (max(found.values()) + 1)
+    for token, rank in found.items():
+        table[rank] = token
+    return table
+
+
+def _explode(buckets: int, size: int):
     """A block's distinct words, dealt out by word: their places in the block's list, lengths and bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in blocks(batches):
+        for block, rows in blocks(batches, size):
             words = [w.encode() for w in distinct([t or "" for t in rows.column("text").to_pylist()])[0]]
             to = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
             order = np.array(sorted(range(len(words)), key=words.__getitem__), np.int64)
@@ -51,22 +70,22 @@ def _explode(buckets: int):
     return run
 
 
-def _layout(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, rows in blocks(batches):
-        _, flat, counts = distinct([t or "" for t in rows.column("text").to_pylist()])
-        keys = rows.select([x for x in rows.schema.names if x != "text"])
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, keys.schema) as writer:
-            writer.write_table(keys)
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "layout": pa.array([pack(counts.astype(np.uint32), _planes(flat), sink.getvalue().to_pybytes())], pa.binary())})
+def _layout(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in blocks(batches, size):
+            _, flat, counts = distinct([t or "" for t in rows.column("text").to_pylist()])
+            keys = rows.select([x for x in rows.schema.names if x != "text"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, keys.schema) as writer:
+                writer.write_table(keys)
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block]), "layout": pa.array([pack(counts.astype(np.uint32), _planes(flat), sink.getvalue().to_pybytes())], pa.binary())})
+
+    return run
 
 
 def _encoder(ranks_file):
     def encode(rows: pa.Table) -> pa.Table:
-        import public_tokenizers
-        import tiktoken
-
-        made = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=read_ranks(ranks_file.value), special_tokens={})
+        made = _encoding(ranks_file.value)
         known: dict[bytes, bytes] = {}  # a word's rows all meet here: each distinct word is encoded once
         out = []
         for blob in rows.column("words").to_pylist():
@@ -118,7 +137,7 @@ def _reassembler(schema: pa.Schema):
     return reassemble
 
 
-def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``keep`` columns and ``ids``: the ids of the whole text as little-endian unsigned 32-bit integers.
 
     docs must give the same rows in the same order each time it is read (a table does; ``written`` makes one);
@@ -128,9 +147,9 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)
     with open(ranks_path, "rb") as f:
         ranks = broadcast_bytes(spark, f.read())
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    words = rows.mapInArrow(_explode(max(16, 2 * partitions(spark))), "block string, bucket int, words binary")
+    words = rows.mapInArrow(_explode(max(16, 2 * partitions(spark)), block_bytes), "block string, bucket int, words binary")
     back = words.groupBy("bucket").applyInArrow(_encoder(ranks), "block string, ids binary")
-    layout = rows.mapInArrow(_layout, "block string, layout binary")
+    layout = rows.mapInArrow(_layout(block_bytes), "block string, layout binary")
     out = T.StructType([*rows.select(*keep).schema.fields, T.StructField("ids", T.BinaryType())])
     schema = to_arrow_schema(out)
     return layout.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_reassembler(schema), out)
@@ -142,10 +161,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "de
         ranks = broadcast_bytes(prepare(encoded.sparkSession), f.read())
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = read_ranks(ranks.value)
-        table = [b""] * (max(found.values()) + 1)
-        for token, rank in found.items():
-            table[rank] = token
+        table = _token_bytes(ranks.value)
         for batch in batches:
             data = [None if x is None else b"".join([table[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*batch.schema.names, out])
