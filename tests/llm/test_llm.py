@@ -61,11 +61,10 @@ def encoding():
 
 
 @pytest.mark.parametrize("block", [64, 8 << 20])
-def test_bpe(spark, sf, monkeypatch, block):
+def test_bpe(spark, sf, block):
     rows = real(sf, 40) + ODD
     e = encoding()
-    monkeypatch.setattr(bpe.blocks, "__defaults__", (block,))
-    out = bpe.decode(bpe.encode(docs(spark, rows), RANKS), RANKS).collect()
+    out = bpe.decode(bpe.encode(docs(spark, rows), RANKS, block_bytes=block), RANKS).collect()
     key = lambda r: (r[0] is None, r[0] or 0)
     got = sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in out), key=key)
     want = sorted(((i, e.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows), key=key)
@@ -107,10 +106,10 @@ def made_up(seed):
     return [*rows, (100, None), (101, ""), (102, rows[5][1]), (103, "a" * 1000), (104, "a" * 99), (None, rows[7][1])]
 
 
-@pytest.mark.parametrize("width, gram, wide, seed", [(100, 32, 512, 1), (100, 32, 3, 2), (40, 12, 512, 3), (40, 12, 2, 4)])
-def test_suffix_removal(spark, width, gram, wide, seed):
+@pytest.mark.parametrize("width, gram, wide, local, seed", [(100, 32, 512, 32, 1), (100, 32, 3, 32, 2), (40, 12, 512, 2, 3), (40, 12, 2, 3, 4), (100, 32, 512, 2, 5), (100, 32, 4, 1, 6)])
+def test_suffix_removal(spark, width, gram, wide, local, seed):
     rows = made_up(seed)
-    got = suffix.remove_repeats(docs(spark, rows), width, gram, wide)
+    got = suffix.remove_repeats(docs(spark, rows), width, gram, wide, local, block_bytes=3000)
     assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()), key=repr) == sorted(plain_repeats(rows, width), key=repr)
 
 
