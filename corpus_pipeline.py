@@ -21,9 +21,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the smallest doc_id."""
+    """Keeps of each group of near copies the document with the smallest doc_id, of rows that repeat it one.
+
+    Rows without a doc_id can't stand for a group and can't be told apart; they stay.
+    """
     first = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    named = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
+    return named.unionByName(docs.filter("doc_id is null"))
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

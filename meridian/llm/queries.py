@@ -107,7 +107,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_quality_mil, op5_language_id, op6_suffix_dedup, op7_token_files, op8_warc, op9_simhash, op10_quality_rules)}
 
 #: Base 32 of a SHA-1 digest in hex: each five hex digits are four letters.
-_BASE32 = """array_to_string(list_transform(range(0, 8), k -> array_to_string(list_transform([15, 10, 5, 0], s ->
+_BASE32 = """array_to_string(list_transform(range(0, 8), lambda k: array_to_string(list_transform([15, 10, 5, 0], lambda s:
  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(sha, CAST(5 * k + 1 AS INT), 5) AS BIGINT) >> s) & 31)::INT, 1)), '')), '')"""
 
 ORACLES: dict[str, str] = {
@@ -116,4 +116,15 @@ ORACLES: dict[str, str] = {
  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
  CASE WHEN page_id <> first THEN first END AS refers_to FROM q""",
+    "op6_suffix_dedup": """WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+ w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS s FROM (SELECT doc_id, h, unnest(range(greatest(n - 99, 0))) AS i FROM d)),
+ r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM w),
+ m AS (SELECT doc_id, i, CASE WHEN i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 1 ELSE 0 END AS fresh FROM r WHERE k > 1),
+ g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM m),
+ s AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM g GROUP BY doc_id, g),
+ p AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS x, a AS y FROM s UNION ALL SELECT doc_id, max(b), NULL FROM s GROUP BY 1),
+ k AS (SELECT p.doc_id, string_agg(substr(h, 2 * x + 1, 2 * (coalesce(y, n) - x)), '' ORDER BY x) AS kept FROM p JOIN d USING (doc_id) GROUP BY 1),
+ t AS (SELECT doc_id, sum(b - a) AS removed, count(*) AS spans FROM s GROUP BY 1)
+ SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+ sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id) LEFT JOIN t USING (doc_id)""",
 }

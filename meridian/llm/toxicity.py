@@ -150,7 +150,8 @@ class Chain:
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, F.Column], sample: int = SAMPLE) -> list[tuple]:
     """A chain for ``categories``: name to a boolean column over (text, labels' columns), in order."""
-    chosen = labels.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    told = F.max(F.struct(*[c for c in labels.columns if c != "doc_id"])).alias("told")  # of repeated labels the greatest
+    chosen = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(told).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "told.*")
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
     found = rows.select(F.xxhash64("doc_id").alias("h"), "text", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in categories.items()]).limit(2 * sample).collect()
     if not found:

@@ -491,6 +491,20 @@ def test_pipeline(spark, sf):
     assert {r.doc_id for r in cp.run(spark, sf).select("doc_id").collect()} == set(out)
 
 
+def test_pipeline_on_odd_documents(spark, sf):
+    import corpus_pipeline as cp
+
+    rows = [(i, t) for i, t in ODD if t is None or len(t) < 2000] + [(9, LONG[:5000]), (9, LONG[:5000]), (10, LONG[:5000] + " x"), (None, LONG[5000:9000])]
+    df = docs(spark, rows, extra=False).withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long")})
+    for name, stage in cp.STAGES[:-1]:
+        df = common.written(stage(spark, df, sf), name)
+    assert sorted(str(r.doc_id) for r in df.collect()) == ["9", "None"]
+    empty = common.table(spark, sf, "documents").limit(0)
+    for name, stage in cp.STAGES[:-1]:
+        empty = common.written(stage(spark, empty, sf), name)
+    assert cp.STAGES[-1][1](spark, empty, sf).count() == 0
+
+
 @pytest.mark.parametrize("name", sorted(q.ORACLES))
 def test_query_agrees_with_sql(spark, sf, name):
     from oracle import connect, difference
