@@ -42,7 +42,7 @@ WIDE = 512
 #: The same within one block: such segments do not even meet by anchor.
 LOCAL = 32
 #: Bytes that are hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Text bytes of a block of documents.
 BLOCK = 8 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -68,7 +68,7 @@ class Prefix:
     """Prefix polynomial hashes of bytes; any substring's hash follows from two of them."""
 
     def __init__(self, data: np.ndarray, which: int = 0):
-        size = 1 << max(20, (len(data)).bit_length())
+        size = 1 << max(19, len(data).bit_length())
         power, self.inverse = _powers(which, size)
         self.sums = np.zeros(len(data) + 1, U)
         np.cumsum(_letters(which)[data] * power[: len(data)], out=self.sums[1:])
