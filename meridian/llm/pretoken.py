@@ -95,15 +95,17 @@ def distinct(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         begin = starts(text)
         end = np.append(begin[1:], len(text))
         points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        begins.append(begin)
-        ends.append(end)
+        begins.append(begin.astype(np.int32))
+        ends.append(end.astype(np.int32))
         ones.append(_hashes(points, begin, end, 0))
         twos.append(_hashes(points, begin, end, 1))
         counts[i] = len(begin)
     if not begins:
         return [], np.zeros(0, np.uint32), counts
     numbers = pa.array(np.concatenate(ones)).dictionary_encode().indices.to_numpy()
+    del ones
     two = np.concatenate(twos)
+    del twos
     top = np.maximum.accumulate(numbers)
     first = np.flatnonzero(numbers > np.concatenate([[-1], top[:-1]]))
     if not np.array_equal(two[first][numbers], two):
