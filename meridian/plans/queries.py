@@ -265,7 +265,7 @@ def prefix_listing(part):
 @query("""SELECT s_suppkey, coalesce(n_name, 'Place [' || s_nationkey || ']') AS place, CASE n_name WHEN 'NATION_1' THEN 'one' WHEN 'NATION_2' THEN 'two' ELSE 'other' END AS kind
  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey AND n_nationkey < 20""")
 def label_enrichment(supplier, nation):
-    named = supplier.join(F.broadcast(nation.filter("n_nationkey < 20")), F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    named = supplier.join(nation.filter("n_nationkey < 20"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
     return named.select("s_suppkey", F.coalesce("n_name", F.concat(F.lit("Place ["), F.col("s_nationkey").cast("string"), F.lit("]"))).alias("place"), lookup(F.col("n_name"), {"NATION_1": "one", "NATION_2": "two"}, F.lit("other")).alias("kind"))
 
 
