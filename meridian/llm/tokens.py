@@ -30,7 +30,7 @@ from meridian.llm.pretoken import distinct
 #: Ids in a sequence, sequences in a batch.
 LENGTH, BATCH = 1024, 256
 #: Distinct words whose ids a task remembers.
-MEMORY = 400_000
+MEMORY = 1_000_000
 
 
 def file_schema(wide: bool, length: int) -> pa.Schema:
@@ -135,8 +135,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, le
         with fs.open_output_stream(f"{root}/.{name}-{own}.arrows") as sink:
             out = SequenceWriter(sink, schema, length, batch)
             for rows in (b for bs in ([first], batches) for b in bs):
-                for i in range(0, rows.num_rows, 1000):
-                    some = rows.slice(i, 1000)
+                for i in range(0, rows.num_rows, 2000):
+                    some = rows.slice(i, 2000)
                     flat, sizes_ = words.encode([x or "" for x in some.column(1).to_pylist()])
                     ends = np.cumsum(sizes_)
                     out.add(np.insert(flat, ends, end))
