@@ -19,6 +19,8 @@ class Result(NamedTuple):
     def counts(self) -> dict:
         """The stats with row counts; runs the plans."""
         valid, rejected = self.valid.count(), self.rejected.count()
+        if not valid + rejected:
+            return {"reason": "DataFrame vazio"} | self.stats | {"total": 0, "valid": 0, "rejected": 0}
         return self.stats | {"total": valid + rejected, "valid": valid, "rejected": rejected}
 
 

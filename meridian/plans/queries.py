@@ -457,3 +457,56 @@ def contains_filter(nation, customer):
 @query("SELECT s_suppkey, CASE WHEN length(d) >= 7 THEN d ELSE lpad(d, 7, '0') END AS cnes FROM (SELECT s_suppkey, regexp_replace(s_name, '[^0-9]', '', 'g') AS d FROM supplier)")
 def zero_padding(supplier):
     return supplier.select("s_suppkey", zero_pad(digits(F.col("s_name")), 7).alias("cnes"))
+
+
+@query("SELECT p_partkey, md5(p_name || '|' || p_brand) AS fingerprint FROM part")
+def md5_fingerprint(part):
+    return part.select("p_partkey", F.md5(F.concat_ws("|", "p_name", "p_brand")).alias("fingerprint"))
+
+
+@query("SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier")
+def places_with_both(customer, supplier):
+    return customer.select(F.col("c_nationkey").alias("nation")).intersect(supplier.select("s_nationkey"))
+
+
+@query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+def patients_never_expired(customer, orders):
+    return customer.select("c_custkey").subtract(orders.filter(expired()).select("o_custkey"))
+
+
+@query("SELECT 'patient' AS kind, c_custkey AS id, c_nationkey AS place, CAST(NULL AS DOUBLE) AS balance FROM customer UNION ALL SELECT 'facility', s_suppkey, s_nationkey, s_acctbal FROM supplier")
+def union_by_name(customer, supplier):
+    a = customer.select(F.lit("patient").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("place"))
+    b = supplier.select(F.col("s_nationkey").alias("place"), F.col("s_suppkey").alias("id"), F.lit("facility").alias("kind"), F.col("s_acctbal").alias("balance"))
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("SELECT p_partkey, list_extract(list_filter(string_split(p_name, ' '), lambda w: length(w) > 3), -1) AS last_long, string_split(p_name, ' ')[1] AS first FROM part")
+def array_elements(part):
+    words = F.split("p_name", " ")
+    return part.select("p_partkey", F.try_element_at(F.filter(words, lambda w: F.length(w) > 3), F.lit(-1)).alias("last_long"), F.try_element_at(words, F.lit(1)).alias("first"))
+
+
+@query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate DESC NULLS LAST, o_orderkey LIMIT 5")
+def preview(orders):
+    return orders.select("o_orderkey", "o_orderdate").orderBy(F.desc_nulls_last("o_orderdate"), "o_orderkey").limit(5)
+
+
+@query("SELECT c_custkey, n_nationkey IS NULL AS unplaced, coalesce(s.n, 0) AS facilities FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_regionkey = 1 LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY 1) s ON c_nationkey = s_nationkey")
+def null_tests(customer, nation, supplier):
+    per = supplier.groupBy("s_nationkey").agg(F.count("*").alias("n"))
+    placed = customer.join(nation.filter("n_regionkey = 1"), F.col("c_nationkey") == F.col("n_nationkey"), "left").join(per, F.col("c_nationkey") == F.col("s_nationkey"), "left")
+    return placed.select("c_custkey", F.col("n_nationkey").isNull().alias("unplaced"), F.coalesce("n", F.lit(0).cast("long")).alias("facilities"))
+
+
+_LABELS = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in (("EMER", "Urgência / Emergência"), ("IMP", "Internação Eletiva"), ("AMB", "Ambulatorial")))
+
+
+@query(f"""SELECT o_orderkey, class AS encounter_class, CASE class {_LABELS} ELSE 'Outros' END AS encounter_class_name, CASE o_orderstatus WHEN 'F' THEN 'Óbito Hospitalar' WHEN 'O' THEN 'Alta Hospitalar com Vida' ELSE 'Em Tratamento' END AS discharge_disposition_name
+ FROM (SELECT *, CASE o_orderkey % 4 WHEN 0 THEN 'EMER' WHEN 1 THEN 'IMP' WHEN 2 THEN 'AMB' ELSE 'X' END AS class FROM orders)""")
+def export_labels(orders):
+    from meridian.plans.export import labelled
+
+    k = F.col("o_orderkey") % 4
+    rows = orders.select("o_orderkey", F.when(k == 0, "EMER").when(k == 1, "IMP").when(k == 2, "AMB").otherwise("X").alias("encounter_class"), lookup(F.col("o_orderstatus"), {"F": "expired", "O": "discharged_alive"}, F.lit("open")).alias("discharge_disposition"))
+    return labelled(rows, "fct_encounters").drop("discharge_disposition")

@@ -56,7 +56,7 @@ def test_validation(spark):
     assert (r.valid.count(), r.rejected.count()) == (1, 2)
     assert validate(df, "whatever").counts()["valid"] == 1
     empty = readers.sample_referrals(spark).limit(0)
-    assert validate(empty, "sisreg_regulation").counts()["total"] == 0
+    assert validate(empty, "sisreg_regulation").counts() == {"reason": "DataFrame vazio", "total": 0, "valid": 0, "rejected": 0}
 
 
 def test_keep_first_and_counts(spark):

@@ -193,3 +193,17 @@ def test_landing(spark, tmp_path):
     go()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(rows) == 2 and all(len(r.NU_NOTIFIC) == 64 for r in rows)
+
+
+def test_labelled_export(spark, tmp_path):
+    from meridian.plans.export import export, labelled
+
+    sia = spark.createDataFrame([("0303010010", "2000121", "120040")], "PA_PROC_ID string, PA_CODUNI string, PA_UFMUN string")
+    row = labelled(sia, "sia_ambulatorial").first()
+    assert (row.procedure_name, row.hospital_name, row.municipality_name) == ("Tratamento Clínico de Dengue", "Hospital Municipal de Feijó", "Rio Branco (Capital)")
+    assert labelled(sia.drop("PA_CODUNI"), "sia_ambulatorial").columns == ["PA_PROC_ID", "PA_UFMUN", "procedure_name", "municipality_name"]
+    sinan = spark.createDataFrame([("1", "120020")], "NU_NOTIFIC string, ID_MUNICIP string")
+    got = export({"sia_ambulatorial": sia, "sinan_agravos_dengue": sinan, "fct_referrals": None}, str(tmp_path / "csv"), str(tmp_path / "x.db"))
+    assert got == {"sia_ambulatorial": 1, "sinan_agravos_dengue": 1}
+    assert storage.read_sqlite(spark, str(tmp_path / "x.db"), "sinan_agravos_dengue").first().disease_name == "Dengue / Arbovirose"
+    assert spark.read.csv(str(tmp_path / "csv/sinan_agravos_dengue"), header=True).count() == 1
