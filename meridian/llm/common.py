@@ -146,7 +146,11 @@ def sole(found: list, block: str):
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The indices starts[i] .. starts[i] + lengths[i] - 1 for all i, one after the other."""
-    lengths = lengths.astype(np.int64)
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total, dtype=np.int64) + np.repeat(starts.astype(np.int64) - (ends - lengths), lengths)
+    if not len(lengths):
+        return np.zeros(0, np.int64)
+    ends = np.cumsum(lengths, dtype=np.int64)
+    most = max(int(ends[-1]), int(starts.max()) + int(lengths.max()))
+    kind = np.int32 if most < 1 << 31 else np.int64  # half the memory where it does
+    out = np.repeat((starts.astype(np.int64) - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(len(out), dtype=kind)
+    return out

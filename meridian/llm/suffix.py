@@ -65,16 +65,24 @@ def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Prefix:
-    """Prefix polynomial hashes of bytes; any substring's hash follows from two of them."""
+    """Prefix polynomial hashes of bytes; any substring's hash follows from two of them.
 
-    def __init__(self, data: np.ndarray, which: int = 0):
-        size = 1 << max(19, len(data).bit_length())
+    local: every byte's place in its segment, where only substrings of segments are asked for; the tables of powers are
+    then as long as a segment and not as the data.
+    """
+
+    def __init__(self, data: np.ndarray, which: int = 0, local: np.ndarray | None = None):
+        size = 1 << max(19, len(data).bit_length()) if local is None else 1 << 8
         power, self.inverse = _powers(which, size)
+        self.local = local
         self.sums = np.zeros(len(data) + 1, U)
-        np.cumsum(_letters(which)[data] * power[: len(data)], out=self.sums[1:])
+        np.cumsum(_letters(which)[data] * (power[: len(data)] if local is None else power[local]), out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.sums[end] - self.sums[start]) * self.inverse[start]
+        if self.local is None:
+            return (self.sums[end] - self.sums[start]) * self.inverse[start]
+        # an empty substring may stand at a segment's end, which is the next one's start: any power will do for zero
+        return (self.sums[end] - self.sums[start]) * self.inverse[self.local[np.minimum(start, len(self.local) - 1)]]
 
     def grams(self, size: int) -> np.ndarray:
         n = len(self.sums) - size
@@ -360,13 +368,13 @@ def common(x: np.ndarray, y: np.ndarray, cap: np.ndarray, prefix: Prefix) -> np.
         high = np.where(open_ & ~same, middle - 1, high)
 
 
-def suffix_sort(data: np.ndarray, at: np.ndarray, room: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def suffix_sort(data: np.ndarray, at: np.ndarray, room: np.ndarray, group: np.ndarray, local: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes data[at:at + room] in order within their groups, and each one's common extension with the one before.
 
     A bottom-up mergesort; all runs of a level merge at once. An element's place in the merged run is its own place
     plus the number of the other run's elements before it, found by binary search.
     """
-    prefix = Prefix(data)
+    prefix = Prefix(data, 0, local)
     order = np.argsort(group, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], group[order][1:] != group[order][:-1]])) if len(order) else np.zeros(0, np.int64)
     size = np.diff(np.append(first, len(order)))
@@ -445,8 +453,11 @@ def equal_windows(data: np.ndarray, base: np.ndarray, count: np.ndarray, off: np
     """Of segments data[base:base + count + width - 1] with an anchor ``off`` bytes in: the (segment, window) pairs whose
     string stands in a segment of the same anchor and a lower rank."""
     at, room = base + off, count + width - 1 - off
-    order, lcp = suffix_sort(data, at, room, group)
-    prefix = Prefix(data, 1)
+    length = count + width - 1
+    fits = not len(length) or length.max() <= 256  # longer segments take tables as long as the data
+    local = (np.arange(len(data), dtype=np.int32) - np.repeat(base.astype(np.int32), length)).astype(np.uint8) if fits else None
+    order, lcp = suffix_sort(data, at, room, group, local)
+    prefix = Prefix(data, 1, local)
     found_s, found_w = [], []
     fresh = np.concatenate([[True], group[order][1:] != group[order][:-1]]) if len(order) else np.zeros(0, bool)
     for o in range(int(off.max()) + 1 if len(off) else 0):
@@ -543,13 +554,20 @@ def _cut(width: int, schema: pa.Schema, as_text: bool):
             at, count = unpack(blob)
             np.add.at(change, at, 1)
             np.add.at(change, at.astype(np.int64) + count + width - 1, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
+        del change
+
+        def before(flags: np.ndarray) -> np.ndarray:
+            """How many are set before each document's start and the end."""
+            sums = np.cumsum(flags, dtype=np.int32)
+            return np.where(bounds > 0, sums[np.maximum(bounds, 1) - 1], 0) if len(sums) else np.zeros(len(bounds), np.int64)
+
+        total = before(gone).astype(np.int64)
         begin = gone.copy()
         begin[1:] &= ~gone[:-1]
         inner = bounds[:-1][bounds[:-1] < len(data)]
         begin[inner] = gone[inner]
-        total = np.concatenate([[0], np.cumsum(gone)])[bounds]
-        spans = np.concatenate([[0], np.cumsum(begin)])[bounds]
+        spans = before(begin).astype(np.int64)
         left = data[~gone].tobytes()
         ends = bounds - total
         kept = [left[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
