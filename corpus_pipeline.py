@@ -46,7 +46,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts as ids, with the digest of what they decode to."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    out = bpe.decode(bpe.encode(docs, ranks), ranks)
+    out = bpe.encode(docs, ranks, decoded="decoded")
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -115,7 +115,12 @@ def _from_planes(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x.T).reshape(-1).view("<u4") if x.size else np.zeros(0, "<u4")
 
 
-def _reassembler(schema: pa.Schema):
+def _joined(table: list[bytes], ids: np.ndarray) -> bytes:
+    """The token-byte table joined to ids."""
+    return b"".join([table[i] for i in ids.tolist()])
+
+
+def _reassembler(schema: pa.Schema, ranks_file, decoded: bool):
     def reassemble(key, layout: pa.Table, found: pa.Table) -> pa.Table:
         lengths, planes, keys = unpack(sole(layout.column("layout").to_pylist(), str(key[0])))
         words = _from_planes(planes)
@@ -131,15 +136,22 @@ def _reassembler(schema: pa.Schema):
         ends = np.concatenate([[0], np.cumsum(sizes[words])])[np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])]
         data = flat.astype("<u4").tobytes()
         values = pa.array([data[4 * a : 4 * b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())
+        made = [values]
+        if decoded:
+            table = _token_bytes(ranks_file.value)
+            made.append(pa.array([_joined(table, flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary()))
         rows = pa.ipc.open_stream(keys).read_all()
-        return pa.Table.from_arrays([*rows.columns, values], schema=schema)
+        return pa.Table.from_arrays([*rows.columns, *made], schema=schema)
 
     return reassemble
 
 
-def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",), block_bytes: int = BLOCK_BYTES, decoded: str | None = None) -> DataFrame:
     """``keep`` columns and ``ids``: the ids of the whole text as little-endian unsigned 32-bit integers.
 
+    decoded: a column with the bytes that the ids decode to, as ``decode`` makes it, without another pass of the ids
+    through a second worker.
+
     docs must give the same rows in the same order each time it is read (a table does; ``written`` makes one);
     otherwise the query fails rather than mixing blocks up. Columns other than text and ``keep`` are not read.
     """
@@ -150,9 +162,12 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)
     words = rows.mapInArrow(_explode(max(16, 2 * partitions(spark)), block_bytes), "block string, bucket int, words binary")
     back = words.groupBy("bucket").applyInArrow(_encoder(ranks), "block string, ids binary")
     layout = rows.mapInArrow(_layout(block_bytes), "block string, layout binary")
-    out = T.StructType([*rows.select(*keep).schema.fields, T.StructField("ids", T.BinaryType())])
+    made = ["ids", *([decoded] if decoded else [])]
+    if set(made) & set(keep):
+        raise ValueError("keep names a column that is made here")
+    out = T.StructType([*rows.select(*keep).schema.fields, *(T.StructField(c, T.BinaryType()) for c in made)])
     schema = to_arrow_schema(out)
-    return layout.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_reassembler(schema), out)
+    return layout.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(_reassembler(schema, ranks, bool(decoded)), out)
 
 
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -163,7 +178,7 @@ def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "de
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _token_bytes(ranks.value)
         for batch in batches:
-            data = [None if x is None else b"".join([table[i] for i in np.frombuffer(x, "<u4").tolist()]) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
+            data = [None if x is None else _joined(table, np.frombuffer(x, "<u4")) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(data, pa.binary())], names=[*batch.schema.names, out])
 
     if out in encoded.columns:

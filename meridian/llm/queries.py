@@ -35,7 +35,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meridian.llm import bpe
 
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks), ranks)
+    out = bpe.encode(table(spark, sf_dir, "documents"), ranks, decoded="decoded")
     return out.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
