@@ -64,7 +64,10 @@ def encoding():
 def test_bpe(spark, sf, block):
     rows = real(sf, 40) + ODD
     e = encoding()
-    out = bpe.decode(bpe.encode(docs(spark, rows), RANKS, block_bytes=block), RANKS).collect()
+    df = docs(spark, rows)
+    out = bpe.decode(bpe.encode(df, RANKS, block_bytes=block), RANKS).collect()
+    one = bpe.encode(df, RANKS, block_bytes=block, decoded="decoded").collect()
+    assert sorted(map(repr, one)) == sorted(map(repr, out))
     key = lambda r: (r[0] is None, r[0] or 0)
     got = sorted(((r.doc_id, np.frombuffer(r.ids, "<u4").tolist(), bytes(r.decoded)) for r in out), key=key)
     want = sorted(((i, e.encode_ordinary(t or ""), (t or "").encode()) for i, t in rows), key=key)
