@@ -133,6 +133,21 @@ def _best(items, key):
     return out
 
 
+def _centred(rule: list[Condition], rows: list[dict]) -> list[Condition]:
+    """The conditions with thresholds midway between what they let through of the bad and what they hold back, so that a
+    value a little beyond what was seen does not decide."""
+    out = []
+    hit = [r for r in rows if r["bad"] and all(c.holds(r) for c in rule)]
+    for c in rule:
+        inside = [r[c.feature] for r in hit]
+        outside = [r[c.feature] for r in rows if not c.holds(r)]
+        if inside and outside:
+            near = (max(outside), min(inside)) if c.above else (max(inside), min(outside))
+            c = Condition(c.feature, c.above, sum(near) / 2)
+        out.append(c)
+    return out
+
+
 def learn(rows: list[dict], least_precision: float = 0.95, least_covered: int = 8, most_rules: int = 12, most_conditions: int = 4) -> list[Rule]:
     """Rules that reject, from rows with the features and ``bad``. Rows are bit positions of whole numbers, so that a
     condition's count is one ``and``. Two rows of three grow rules, every third prunes them."""
@@ -198,7 +213,7 @@ def learn(rows: list[dict], least_precision: float = 0.95, least_covered: int =
             p, n = counts(mask)
             if p < least_covered or p / (p + n) < least_precision:
                 break
-        out.append(Rule(tuple(kept), p / (p + n), p + n))
+        out.append(Rule(tuple(_centred(kept, rows)), p / (p + n), p + n))
         open_ &= ~mask
     return out
 
