@@ -38,12 +38,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset a local session (tests) gets a folder
+    of its own; on a cluster it must be set."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="meridian-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        found = _own.get(app) or _own.setdefault(app, "file://" + tempfile.mkdtemp(prefix="meridian-"))
     return found.rstrip("/")
 
 
