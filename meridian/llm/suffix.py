@@ -25,6 +25,7 @@ Null doc_ids come first.
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -189,18 +190,19 @@ SEGMENTS, WHOLE, FETCH, SPREAD, BYTES, WINDOWS, PARTIAL, MARK = range(8)
 
 def _anchors(width: int, gram: int, buckets: int, local: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, (block, rows) in enumerate(blocks(batches, size)):
+        for block, rows in blocks(batches, size):
+            passing = zlib.crc32(block.encode()) % buckets  # what only passes through is spread over the buckets
             data, bounds, ids = _buffer(rows)
             s, count, _, g, whole = segments(data, bounds, width, gram)
             where = np.searchsorted(bounds, s, side="right") - 1
             order, _, later = _firsts((_low48(g), _low48(whole)), ids[where], s - bounds[where])
             gone = np.sort(order[later])
-            out = [(block, WHOLE, number % buckets, pack(s[gone].astype(np.uint32), count[gone].astype(np.uint8)))] if len(gone) else []
+            out = [(block, WHOLE, passing, pack(s[gone].astype(np.uint32), count[gone].astype(np.uint8)))] if len(gone) else []
             left = np.sort(order[~later])
             _, place, many = np.unique(g[left], return_inverse=True, return_counts=True)
             hot = many[place] >= local
             if hot.any():
-                out.append((block, SPREAD, number % buckets, pack(s[left[hot]].astype(np.uint32), count[left[hot]].astype(np.uint8))))
+                out.append((block, SPREAD, passing, pack(s[left[hot]].astype(np.uint32), count[left[hot]].astype(np.uint8))))
                 marks = np.unique(g[left[hot]])
                 for b in np.unique((marks >> U(16)) % U(buckets)).tolist():
                     out.append((block, MARK, int(b), pack(_low6(marks[(marks >> U(16)) % U(buckets) == U(b)]))))
