@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
+from meridian.llm.common import broadcast_bytes, pack, prepare, ragged, unpack
 
 SAMPLE, FEATURES, FOLDS = 6000, 3000, 3
 STARTS = (4, 5, 6, 7)
@@ -44,40 +44,63 @@ def word_features(word: str) -> list[str]:
 
 
 @dataclass
-class Linear:
-    """A logistic regression: names of word features, their weights, weights of the earlier log-odds, intercept."""
+class Corpus:
+    """Training documents as numbers of their word features, all in one array."""
 
     names: list[str]
+    cols: np.ndarray
+    counts: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str]) -> Corpus:
+        ids: dict[str, int] = {}
+        parts = []
+        for t in texts:
+            own = dict.fromkeys(f for w in sorted(words(t)) for f in word_features(w))
+            parts.append(np.fromiter((ids.setdefault(f, len(ids)) for f in own), np.int32, len(own)))
+        return cls(list(ids), np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array([len(x) for x in parts], np.int64))
+
+    def of_documents(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Document (its place in which) and feature of each entry."""
+        starts = np.cumsum(self.counts) - self.counts
+        return np.repeat(np.arange(len(which)), self.counts[which]), self.cols[ragged(starts[which], self.counts[which])]
+
+
+@dataclass
+class Linear:
+    """A logistic regression: word features, their weights, weights of the earlier log-odds, intercept."""
+
+    features: np.ndarray
     weights: np.ndarray
     chain: np.ndarray
     intercept: float
 
-    def logits(self, docs: list[dict[str, None]], earlier: np.ndarray) -> np.ndarray:
-        place = dict(zip(self.names, self.weights.tolist()))
-        own = np.array([sum(place.get(f, 0.0) for f in d) for d in docs])
-        return own + earlier @ self.chain + self.intercept
+    def logits(self, corpus: Corpus, which: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+        dense = np.zeros(len(corpus.names))
+        dense[self.features] = self.weights
+        rows, cols = corpus.of_documents(which)
+        return np.bincount(rows, weights=dense[cols], minlength=len(which)) + earlier @ self.chain + self.intercept
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(docs: list[dict[str, None]], earlier: np.ndarray, target: np.ndarray) -> Linear:
-    """docs: the word features of each document; earlier: its log-odds of the earlier categories."""
+def fit(corpus: Corpus, which: np.ndarray, earlier: np.ndarray, target: np.ndarray) -> Linear:
+    """Fits to the documents ``which``, whose log-odds of the earlier categories and targets are given."""
     positive, negative = target.sum(), len(target) - target.sum()
     prior = float(np.log((positive + 0.5) / (negative + 0.5)))
     if not positive or not negative:
-        return Linear([], np.zeros(0), np.zeros(earlier.shape[1]), prior)
-    ids: dict[str, int] = {}
-    cols = np.fromiter((ids.setdefault(f, len(ids)) for d in docs for f in d), np.int64)
-    rows = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    inside = np.bincount(cols, weights=target[rows], minlength=len(ids))
-    seen = np.bincount(cols, minlength=len(ids))
+        return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), prior)
+    size = len(corpus.names)
+    rows, cols = corpus.of_documents(which)
+    inside = np.bincount(cols, weights=target[rows], minlength=size)
+    seen = np.bincount(cols, minlength=size)
     a, b = (inside + 0.5) / (positive + 1), (seen - inside + 0.5) / (negative + 1)
     worth = np.where(seen >= LEAST_DOCS, np.abs(a - b) * np.abs(np.log(a / b)), 0)
     chosen = np.argsort(-worth, kind="stable")[:FEATURES]
     chosen = chosen[worth[chosen] > 0]
-    to = np.full(len(ids), -1)
+    to = np.full(size, -1)
     to[chosen] = np.arange(len(chosen))
     keep = to[cols] >= 0
     rows, cols = rows[keep], to[cols[keep]]
@@ -85,7 +108,7 @@ def fit(docs: list[dict[str, None]], earlier: np.ndarray, target: np.ndarray) ->
     sums = [np.zeros_like(w), np.zeros_like(c), 0.0]  # AdaGrad
     balance = np.where(target > 0, 0.5 * len(target) / positive, 0.5 * len(target) / negative) ** 0.5
     for _ in range(STEPS):
-        p = _sigmoid(np.bincount(rows, weights=w[cols], minlength=len(docs)) + earlier @ c + bias)
+        p = _sigmoid(np.bincount(rows, weights=w[cols], minlength=len(which)) + earlier @ c + bias)
         r = (p - target) * balance / len(target)
         g = [np.bincount(cols, weights=r[rows], minlength=len(w)) + PENALTY * w / len(target), earlier.T @ r + PENALTY * c / len(target), r.sum()]
         for i, x in enumerate(g):
@@ -93,23 +116,23 @@ def fit(docs: list[dict[str, None]], earlier: np.ndarray, target: np.ndarray) ->
         w -= RATE * g[0] / (np.sqrt(sums[0]) + 1e-6)
         c -= RATE * g[1] / (np.sqrt(sums[1]) + 1e-6)
         bias -= RATE * g[2] / (np.sqrt(sums[2]) + 1e-6)
-    names = np.array(list(ids), dtype=object)[chosen].tolist()
-    return Linear(names, w, c, float(bias))
+    return Linear(chosen, w, c, float(bias))
 
 
-def fit_chain(texts: list[str], targets: np.ndarray, folds: int = FOLDS) -> list[Linear]:
-    """One model for each column of targets (documents x categories), in order."""
-    docs = [dict.fromkeys(f for w in sorted(words(t)) for f in word_features(w)) for t in texts]
-    earlier, out = np.zeros((len(docs), 0)), []
-    fold = np.arange(len(docs)) % folds
+def fit_chain(texts: list[str], targets: np.ndarray, folds: int = FOLDS) -> list[tuple]:
+    """One model for each column of targets (documents x categories), in order: names, weights, chain, intercept."""
+    corpus = Corpus.of(texts)
+    every = np.arange(len(texts))
+    earlier, out = np.zeros((len(texts), 0)), []
+    fold = every % folds
     for k in range(targets.shape[1]):
         y = targets[:, k].astype(float)
-        held = np.zeros(len(docs))
+        held = np.zeros(len(texts))
         for f in range(folds if k + 1 < targets.shape[1] else 0):  # nothing comes after the last
             inside, outside = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            model = fit([docs[i] for i in inside], earlier[inside], y[inside])
-            held[outside] = model.logits([docs[i] for i in outside], earlier[outside])
-        out.append(fit(docs, earlier, y))
+            held[outside] = fit(corpus, inside, earlier[inside], y[inside]).logits(corpus, outside, earlier[outside])
+        m = fit(corpus, every, earlier, y)
+        out.append(([corpus.names[i] for i in m.features.tolist()], m.weights, m.chain, m.intercept))
         earlier = np.column_stack([earlier, np.clip(held, -8, 8)])
     return out
 
@@ -118,14 +141,14 @@ class Chain:
     """The models put together for scoring: a word is looked up once and remembered."""
 
     def __init__(self, models: list[tuple]):
-        self.models = [Linear(*m) for m in models]
+        self.models = models
         names: dict[str, int] = {}
-        for m in self.models:
-            for n in m.names:
+        for own, _, _, _ in models:
+            for n in own:
                 names.setdefault(n, len(names))
-        self.table = np.zeros((len(names), len(self.models)))
-        for k, m in enumerate(self.models):
-            for n, w in zip(m.names, m.weights):
+        self.table = np.zeros((len(names), len(models)))
+        for k, (own, weights, _, _) in enumerate(models):
+            for n, w in zip(own, weights):
                 self.table[names[n], k] = w
         self.names, self.known = names, {}
 
@@ -142,8 +165,8 @@ class Chain:
                 hits.update(found)
         own = self.table[sorted(hits)].sum(axis=0) if hits else np.zeros(len(self.models))
         logits: list[float] = []
-        for k, m in enumerate(self.models):
-            x = own[k] + m.intercept + sum(c * min(8.0, max(-8.0, v)) for c, v in zip(m.chain.tolist(), logits))
+        for k, (_, _, chain, intercept) in enumerate(self.models):
+            x = own[k] + intercept + sum(c * min(8.0, max(-8.0, v)) for c, v in zip(chain.tolist(), logits))
             logits.append(float(x))
         return _sigmoid(np.array(logits)).tolist()
 
@@ -158,8 +181,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, F.Column], s
         return []
     found.sort(key=lambda r: (r.h, r.text))
     targets = np.array([[bool(r[n]) for n in categories] for r in found])
-    models = fit_chain([r.text for r in found], targets)
-    return [(m.names, m.weights, m.chain, m.intercept) for m in models]
+    texts = [r.text for r in found]
+    del found
+    return fit_chain(texts, targets)
 
 
 def score(docs: DataFrame, models: list[tuple], names: list[str], threshold: float = 0.5) -> DataFrame:
