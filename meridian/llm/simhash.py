@@ -149,7 +149,6 @@ def _bucket_links(radius: int, limit: int):
 
 def links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Links (a > b) between the different fingerprints ``fp`` of prints that connect all pairs within the radius."""
-    spark = prints.sparkSession
     tables = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for k, m in enumerate(masks(radius))]))
     rows = prints.select(tables.alias("t"), "fp").select("t.k", "t.key", "fp")
     found = written(rows.repartition("k", "key").sortWithinPartitions("k", "key").mapInArrow(_bucket_links(radius, bucket_limit), "a long, b long, k int, key long"), "simhash-links")
@@ -167,7 +166,6 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LI
 
     more = dealt.groupBy("k", "key", "i", "j").applyInArrow(pair, "a long, b long")
     every = found.filter(F.col("k").isNull()).select("a", "b").unionByName(more)
-    del spark
     return every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
