@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, decontaminate, rules, simhash, suffix
+from meridian.llm import bpe, decontaminate, near, rules, suffix
 from meridian.llm.common import table, written
 
 
@@ -21,11 +21,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies the document with the smallest doc_id, of rows that repeat it one.
+    """Keeps of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest
+    doc_id, of rows that repeat it one.
 
     Rows without a doc_id can't stand for a group and can't be told apart; they stay.
     """
-    first = simhash.near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
+    first = near.near_copies(docs).filter("doc_id = component_id").select("doc_id").distinct()
     named = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id is null"))
 
