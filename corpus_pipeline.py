@@ -21,14 +21,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest
-    doc_id, of rows that repeat it one.
-
-    Rows without a doc_id can't stand for a group and can't be told apart; they stay.
-    """
-    first = near.near_copies(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(first, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    """Keeps one row of each group of near copies (five-word shingles, similarity 0.8 or more): the one with the smallest
+    doc_id, null last; of different texts with that doc_id the one of the smallest row key; of rows that repeat both
+    the one whose other columns are smallest."""
+    first = near.near_copies(docs).filter("row = first").select("row").distinct()
+    rows = docs.select(near.row_key().alias("row"), F.struct(*docs.columns).alias("one")).join(first, "row", "left_semi")
+    return rows.groupBy("row").agg(F.min("one").alias("one")).select("one.*")
 
 
 def repeat_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -68,3 +68,13 @@ def test_near_dedup_of_edited_copies(spark, sf):
         least.setdefault(c, i)
     kept = [r.doc_id for r in cp.near_dedup(spark, frame(spark, rows), sf).collect()]
     assert sorted(kept) == sorted(least.values())
+
+
+def test_near_dedup_chooses_rows(spark, sf):
+    import corpus_pipeline as cp
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a), (1, b), (1, b), (2, b), (None, c), (None, c), (None, b), (3, a + " end")]
+    for some in (rows, rows[::-1]):
+        kept = cp.near_dedup(spark, frame(spark, some), sf).select("doc_id", "text").collect()
+        assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [(1, a), (1, b), (None, c)]))
