@@ -232,6 +232,12 @@ def migration_matrix(lineitem, orders, customer, supplier):
     return out.select("home", *[F.coalesce(F.col(str(k)), F.lit(0).cast("long")).alias(f"to_{k}") for k in range(5)])
 
 
+@query(f"SELECT home, away, count(*) AS n FROM {_MOVED} WHERE travelled AND home IS NOT NULL AND away IS NOT NULL GROUP BY 1, 2")
+def migration_flows(lineitem, orders, customer, supplier):
+    """The crosstab of all who travelled over all destinations, a row for each pair; migration_matrix has five columns of it and non-travellers."""
+    return _moved(lineitem, orders, customer, supplier).filter("travelled and home is not null and away is not null").groupBy("home", "away").agg(F.count("*").alias("n"))
+
+
 @query("""SELECT CAST(a AS BIGINT) AS equal_to, CAST(b AS BIGINT) AS begins_with, b * 100.0::DOUBLE / greatest(1, a + b) AS begins_pct FROM
  (SELECT count_if(p_brand = 'Brand#11') AS a, count_if(starts_with(p_brand, 'Brand#2') OR starts_with(p_brand, 'Brand#4')) AS b FROM lineitem JOIN part ON l_partkey = p_partkey)""")
 def binary_mode_share(lineitem, part):

@@ -27,3 +27,12 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_migration_flows_hold_every_traveller(spark, sf):
+    found = {(r.home, r.away): r.n for r in QUERIES["migration_flows"](spark, sf).collect()}
+    known = connect(sf).sql("SELECT DISTINCT s_nationkey FROM supplier JOIN lineitem ON l_suppkey = s_suppkey WHERE s_nationkey <> 7").fetchall()
+    assert {a for _, a in found} == {k for (k,) in known} and max(a for _, a in found) > 4
+    assert all(h != a for h, a in found)
+    unknown = connect(sf).sql("SELECT count(*) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey = 7").fetchall()[0][0]
+    assert sum(found.values()) + unknown == QUERIES["migration_rate"](spark, sf).first().travelled
