@@ -28,8 +28,8 @@ from meridian.llm.suffix import Prefix, mix
 
 #: Edits allowed for each byte of an item.
 RATE = 0.08
-#: Bytes of a piece that are looked up by hash; pieces are at least as long.
-SEED_BYTES = 12
+#: Bytes of a piece that are looked up by hash, and of a piece that is shorter than that.
+SEED_BYTES, SHORT_SEED_BYTES = 12, 8
 LEAST = 32
 #: Bytes of items that are matched at once.
 ITEM_BLOCK = 4 << 20
@@ -85,14 +85,21 @@ def distance(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
 
 
 def pieces(item: bytes, rate: float, least: int) -> list[tuple[int, bytes]]:
-    """An item's pieces with their places: one more than its error budget, each of SEED_BYTES at least."""
+    """An item's pieces with their places: one more than its error budget, as equal as they can be."""
     k = budget(item, rate, least)
     cuts = [len(item) * i // (k + 1) for i in range(k + 2)]
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
 def budget(item: bytes, rate: float, least: int) -> int:
-    return 0 if len(item) < least else max(0, min(int(rate * len(item)), len(item) // SEED_BYTES - 1))
+    if not 0 <= rate < 1:
+        raise ValueError(f"rate {rate} is not in [0, 1)")
+    return 0 if len(item) < least else int(rate * len(item) + 1e-9)
+
+
+def seed_bytes(piece: bytes) -> int:
+    """The bytes of a piece that are looked up; few sizes, as each is a pass over the text."""
+    return next((n for n in (SEED_BYTES, SHORT_SEED_BYTES) if len(piece) >= n), len(piece))
 
 
 class Matcher:
@@ -102,7 +109,7 @@ class Matcher:
         groups = defaultdict(list)
         for i, (_, item) in enumerate(items):
             for at, piece in pieces(item, rate, least):
-                groups[min(SEED_BYTES, len(piece))].append((piece, i, at))
+                groups[seed_bytes(piece)].append((piece, i, at))
         for size, found in groups.items():
             seeds = np.frombuffer(b"".join(p[:size] for p, _, _ in found), np.uint8)
             starts = np.arange(len(found)) * size
