@@ -262,8 +262,10 @@ def _meet(wide: int):
             shared = np.repeat(size, size)
             kinds = np.full(len(s), -1, np.int8)
             kinds[order[later]] = WHOLE
-            kinds[reps[shared > 1]] = FETCH
-            kinds[reps[(shared > wide) | np.isin(g[reps], np.concatenate(marks))]] = SPREAD
+            # rows that repeat a lead's doc and place go the lead's way
+            leads, group = order[~later], (np.cumsum(begin) - 1)[~later]
+            kinds[leads[shared[group] > 1]] = FETCH
+            kinds[leads[((shared > wide) | np.isin(g[reps], np.concatenate(marks)))[group]]] = SPREAD
             for i in np.unique(block):
                 for kind in (WHOLE, FETCH, SPREAD):
                     pick = np.flatnonzero((block == i) & (kinds == kind))
