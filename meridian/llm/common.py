@@ -12,6 +12,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -25,16 +26,19 @@ ROOT = str(Path(__file__).resolve().parents[2])
 MAX_BROADCAST = 64 << 20
 #: Text bytes of a block of documents; a longer document is a block of its own.
 BLOCK_BYTES = 8 << 20
+#: Bytes of a batch that goes to a Python worker; a longer row is a batch of its own.
+BATCH_BYTES = 32 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Lets Python workers import this package and keeps their batches small enough for long texts."""
+    """Lets Python workers import this package and keeps their batches small enough for long texts: by rows and by bytes."""
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, path) if x)
     for key, value in WORKER.items():
         spark.sparkContext.environment.setdefault(key, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 
@@ -64,6 +68,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
+    """The file system of a folder and the folder's path in it; Spark's names of S3 are understood."""
+    scheme, colon, rest = uri.partition("://")
+    return pa.fs.FileSystem.from_uri(f"s3://{rest}" if colon and scheme in ("s3a", "s3n") else uri)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
