@@ -8,7 +8,7 @@ algorithm finds the least edit distance of the whole item. Nothing within the bu
 The items are read in blocks of bounded size, each of which is matched against all rows.
 
 Null and empty texts have no hits; null, empty and sign-only items are never hit. Repeated items and rows are
-answered each for itself. Items whose normal form is shorter than ``least`` bytes are met only whole and unedited.
+answered each for itself. An item of so few bytes that rate * n is below one is met only whole and unedited.
 """
 
 from __future__ import annotations
@@ -23,14 +23,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
+from meridian.llm.common import broadcast_bytes, free_name, pack, prepare, unpack
 from meridian.llm.suffix import Prefix, mix
 
 #: Edits allowed for each byte of an item.
 RATE = 0.08
 #: Bytes of a piece that are looked up by hash, and of a piece that is shorter than that.
 SEED_BYTES, SHORT_SEED_BYTES = 12, 8
-LEAST = 32
 #: Bytes of items that are matched at once.
 ITEM_BLOCK = 4 << 20
 _CHUNK = 1 << 20
@@ -84,17 +83,17 @@ def distance(pattern: bytes, text: bytes, most: int) -> tuple[int, int] | None:
     return (best, end) if best <= most else None
 
 
-def pieces(item: bytes, rate: float, least: int) -> list[tuple[int, bytes]]:
+def pieces(item: bytes, rate: float) -> list[tuple[int, bytes]]:
     """An item's pieces with their places: one more than its error budget, as equal as they can be."""
-    k = budget(item, rate, least)
+    k = budget(item, rate)
     cuts = [len(item) * i // (k + 1) for i in range(k + 2)]
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def budget(item: bytes, rate: float, least: int) -> int:
+def budget(item: bytes, rate: float) -> int:
     if not 0 <= rate < 1:
         raise ValueError(f"rate {rate} is not in [0, 1)")
-    return 0 if len(item) < least else int(rate * len(item) + 1e-9)
+    return int(rate * len(item) + 1e-9)
 
 
 def seed_bytes(piece: bytes) -> int:
@@ -103,12 +102,12 @@ def seed_bytes(piece: bytes) -> int:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int, bytes]], rate: float, least: int):
-        self.items, self.rate, self.least = items, rate, least
+    def __init__(self, items: list[tuple[int, bytes]], rate: float):
+        self.items, self.rate = items, rate
         self.by_size = []
         groups = defaultdict(list)
         for i, (_, item) in enumerate(items):
-            for at, piece in pieces(item, rate, least):
+            for at, piece in pieces(item, rate):
                 groups[seed_bytes(piece)].append((piece, i, at))
         for size, found in groups.items():
             seeds = np.frombuffer(b"".join(p[:size] for p, _, _ in found), np.uint8)
@@ -143,7 +142,7 @@ class Matcher:
             looked[int(np.searchsorted(ends, p)), item].append(p - offset)
         for (doc, i), places in looked.items():
             name, item = self.items[i]
-            k = budget(item, self.rate, self.least)
+            k = budget(item, self.rate)
             a, b = int(begins[doc]), int(ends[doc])
             text = data[a:b].tobytes()
             if item in text:
@@ -163,7 +162,7 @@ class Matcher:
         return out
 
 
-def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, least: int = LEAST, out: str = "leaks") -> DataFrame:
+def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, out: str = "leaks") -> DataFrame:
     """docs with ``out``: an array of (item_id, distance), empty for clean rows; a column of that name is replaced."""
     spark = prepare(docs.sparkSession)
     blocks, held, size = [], [], 0
@@ -184,7 +183,7 @@ def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, least: int = LEA
 
     def matching(block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(unpack(block.value)[0], rate, least)
+            matcher = Matcher(unpack(block.value)[0], rate)
             for batch in batches:
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
@@ -202,7 +201,7 @@ def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, least: int = LEA
     return df
 
 
-def clean(docs: DataFrame, items: DataFrame, rate: float = RATE, least: int = LEAST) -> DataFrame:
-    """The rows of docs that hold no item."""
-    name = "__leaks"
-    return flag(docs, items, rate, least, name).filter(F.size(name) == 0).drop(name)
+def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
+    """The rows of docs that hold no item, with all their columns."""
+    name = free_name(docs, "__leaks")
+    return flag(docs, items, rate, name).filter(F.size(name) == 0).drop(name)
