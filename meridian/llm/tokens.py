@@ -7,24 +7,25 @@ same number of sequences, so sequence i of a file is found by arithmetic and rea
 A second stream for each file tells where its documents start.
 
 A task writes under a name of its own and renames at the end; the rows it returns name the files that count, so a task
-that is lost or run twice leaves no harm. Null and empty texts have the end id only. Repeated rows are written each;
-equal doc_ids are ordered by text, null doc_ids come first.
+that is lost or run twice leaves no harm. Null and empty texts have the end id only. Tokens that the tokenizer's file
+adds to its vocabulary are recognised in texts, as the library does. Repeated rows are written each; equal doc_ids are
+ordered by xxhash64 of the text, then by the text; null doc_ids come first.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.llm.common import broadcast_bytes, fresh_dir, partitions, prepare, ragged, written
+from meridian.llm.common import broadcast_bytes, filesystem, fresh_dir, partitions, prepare, ragged, written
 from meridian.llm.pretoken import distinct
 
 #: Ids in a sequence, sequences in a batch.
@@ -45,12 +46,30 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(data)
-        self.tokenizer.encode_special_tokens = True
         self.kind = kind
         self.known: dict[str, bytes] = {}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: i for i, t in added.items()}
+        #: Tokens that take blanks or whole words only, or that stand in normalized text, are left to the library.
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values())
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if added else None
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts and how many each has."""
+        """The ids of all texts and how many each has. Texts are cut at added tokens before their words are told apart."""
+        if self.cut is None or not any(map(self.cut.search, texts)):
+            return self._encode(texts)
+        if not self.plain:
+            found = [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+        parts = [self.cut.split(t) for t in texts]
+        ids, sizes = self._encode([x for p in parts for x in p[::2]])
+        follows = np.array([self.added[x] if x is not None else -1 for p in parts for x in (*p[1::2], None)], np.int64)
+        after = follows >= 0
+        ids = np.insert(ids, np.cumsum(sizes)[after], follows[after].astype(self.kind))
+        begins = np.cumsum([0, *(len(p[::2]) for p in parts[:-1])])
+        return ids, np.add.reduceat(sizes + after, begins)
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         words, numbers, pieces = distinct(texts)
         known, fresh = self.known, {}
         new = [w for w in words if w not in known]
@@ -127,7 +146,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, le
         if first is None:
             return
         part = TaskContext.get().partitionId()
-        fs, root = pa.fs.FileSystem.from_uri(folder)
+        fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
         name, own = f"part-{part:06d}", uuid.uuid4().hex
         words, end = _words(shared.value, kind), np.array([end_id], kind)
@@ -152,7 +171,7 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str, end_id: int = 0, le
         yield pa.RecordBatch.from_pydict({"file": pa.array([f"{name}-{own}"]), "part": pa.array([part], pa.int32()), "documents": pa.array([len(ids)], pa.int64()), "ids": pa.array([int(counts.sum())], pa.int64()), "wide": pa.array([wide])})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = rows.repartitionByRange(partitions(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    dealt = rows.repartitionByRange(partitions(spark), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return written(dealt.mapInArrow(run, "file string, part int, documents long, ids long, wide boolean"), "tokens-manifest")
 
 
@@ -180,7 +199,7 @@ def read(manifest: DataFrame, folder: str, length: int = LENGTH) -> DataFrame:
     spark = prepare(manifest.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder)
+        fs, root = filesystem(folder)
         for rows in batches:
             for name, before in zip(*(c.to_pylist() for c in rows.columns)):
                 with fs.open_input_file(f"{root}/{name}.index") as f:
