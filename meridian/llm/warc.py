@@ -23,17 +23,18 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import fresh_dir, prepare, written
+from meridian.llm.common import filesystem, fresh_dir, prepare, written
 
 BROADCAST_ROWS = 100_000
 #: Ranges with at most this gap are one read; a read takes at most so many bytes, or one record.
 GAP, RANGE = 64 << 10, 8 << 20
 #: Bytes after which a task begins another file.
 FILE_BYTES = 256 << 20
+#: Archive bytes that a task reads, where there are more of them than cores can share.
+TASK_BYTES = 64 << 20
 DATE = "2000-01-01T00:00:00Z"
 INDEX = "page_id long, url string, digest string, file string, offset long, length long, record_type string"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -88,7 +89,7 @@ def write(pages: DataFrame, folder: str, level: int = 4) -> DataFrame:
     joined = rows.join(F.broadcast(firsts) if few else firsts, "sha", "left").select("page_id", "url", "html", "sha", "first")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder)
+        fs, root = filesystem(folder)
         fs.create_dir(root, recursive=True)
         name, sink, at = "", None, 0
         for batch in batches:
@@ -120,7 +121,7 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The records that the index rows name; revisits have no payload. Each payload is held against its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, root = pa.fs.FileSystem.from_uri(folder)
+        fs, root = filesystem(folder)
         open_name, file = None, None
         for batch in batches:
             rows = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("file", "offset", "length"))))
@@ -149,9 +150,12 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
         if file is not None:
             file.close()
 
-    prepare(index.sparkSession)
+    spark = prepare(index.sparkSession)
     ranges = index.select("file", "offset", "length", F.floor(F.col("offset") / RANGE).alias("chunk"))
-    return ranges.repartition("file", "chunk").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
+    # a task's work is the archive bytes that it reads, of which the small index rows tell nothing to the planner
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // TASK_BYTES), min(spark.sparkContext.defaultParallelism, -(-total // RANGE)))
+    return ranges.repartition(tasks, "file", "chunk").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
 
 
 def write_and_read(pages: DataFrame) -> DataFrame:
