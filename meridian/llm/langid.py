@@ -3,11 +3,12 @@
 Every language has a zstandard raw-content dictionary of its own text. A text is encoded with each dictionary, and the
 language whose encoding is smallest is the answer; where the runner-up comes close, the answer is rejected.
 
-Trained on a bounded sample (DOCS documents of a language at most, EXCERPT characters of each, DICTIONARY bytes in
-all), applied to whole texts in chunks of CHUNK bytes, each encoded on its own.
+Trained on a bounded sample of whole texts: in the order of their keys' hashes a language's documents are taken up to
+DOCS of them and up to the one with which they pass DICTIONARY bytes; those of over LONGEST bytes come last. Applied to
+whole texts in chunks of CHUNK bytes, each encoded on its own.
 
 Null texts and texts without a letter are ``und`` with score 0. Ties go to the language that sorts first. Without
-training rows every text is ``und``.
+training rows every text is ``und``. Of rows that repeat a key each counts. ``keep`` may not name a column made here.
 """
 
 from __future__ import annotations
@@ -18,13 +19,13 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
 
-DOCS, EXCERPT, DICTIONARY = 800, 300, 120_000
+DOCS, DICTIONARY, LONGEST = 400, 250_000, 16_000
 CHUNK, LEVEL = 2 << 10, 9
 #: Least share by which the second encoding must be larger.
 MARGIN = 0.01
@@ -32,7 +33,7 @@ MOST_LANGUAGES = 500
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """A dictionary for each language: excerpts of the documents whose keys hash lowest."""
+    """A dictionary for each language: the documents whose keys hash lowest."""
     rows = docs.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(key).alias("key"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
     if len(counts) > MOST_LANGUAGES:
@@ -42,13 +43,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 2.0 * DOCS / n))])
     mark = F.xxhash64(F.col("key").cast("string"), F.lit("sample"))
     some = rows.withColumn("h", mark).filter(F.pmod("h", F.lit(1_000_000)) < F.element_at(share, F.col("lang")) * 1_000_000)
-    # the hash has thinned the rows to about 2 * DOCS a language; the limit bounds what reaches the driver whatever the keys
-    some = some.select("lang", "h", F.substring("text", 1, EXCERPT).alias("text")).orderBy("h", "lang", "text").limit(4 * DOCS * len(counts))
-    found: dict[str, list[str]] = {k: [] for k in counts}
-    for r in some.collect():
-        if len(found[r.lang]) < DOCS:
-            found[r.lang].append(r.text.lower())
-    return {k: "\n".join(v).encode()[-DICTIONARY:] for k, v in found.items() if v}
+    # the hash has thinned the rows to about 2 * DOCS a language; rows that repeat one key in masses are thinned by the limit
+    some = some.select("lang", (F.octet_length("text") > LONGEST).alias("long"), "h", F.xxhash64("text").alias("t"), F.octet_length("text").alias("n"), "text")
+    some = some.orderBy("long", "h", "lang", "t", "text").limit(4 * DOCS * len(counts))
+    order = Window.partitionBy("lang").orderBy("long", "h", "t", "text")
+    some = some.withColumns({"nth": F.row_number().over(order), "before": F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    found: dict[str, list[str]] = {}
+    for r in some.filter((F.col("nth") <= DOCS) & (F.col("before") < DICTIONARY)).orderBy("lang", "nth").select("lang", "text").collect():
+        found.setdefault(r.lang, []).append(r.text.lower())
+    return {k: "\n".join(v).encode() for k, v in found.items()}
 
 
 class Classifier:
@@ -81,6 +84,8 @@ class Classifier:
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MARGIN, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns with lang_pred, score (0.5 to 1: how clearly it beats the next), margin and rejected."""
     spark = prepare(docs.sparkSession)
+    if {"lang_pred", "score", "margin", "rejected", "text"} & {c.lower() for c in keep}:
+        raise ValueError("keep names a column that is made here")
     model = broadcast_bytes(spark, pack(dictionaries))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
