@@ -5,11 +5,12 @@ words, hashed letter pairs); gated attention, learned from the documents' labels
 logistic unit scores the weighted sum of their representations.
 
 Statistics come out of array operations over a whole batch of texts: prefix sums of kinds of signs, cut at the
-passages' ends. Training takes SAMPLE labelled documents at most and PASSAGES passages of each, spread evenly over it;
-scoring reads every passage of every text.
+passages' ends. Training takes SAMPLE labelled documents at most, with all their passages; scoring reads every passage
+of every text.
 
-Null and empty texts are one empty passage and are scored like any other. Without training rows, or with rows of one
-label only, every score is the label's share (0.5 without rows).
+Null and empty texts are one empty passage and are scored like any other. Of rows that repeat a labelled doc_id the one
+with the least text is learned from, of labels that repeat it the greatest. Without training rows, or with rows of one
+label only, every score is the label's share (0.5 without rows). ``keep`` may not name a column made here.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
 from meridian.llm.suffix import mix
 
-SAMPLE, PASSAGES = 5000, 60
+SAMPLE = 5000
 PASSAGE = 512
 PAIRS = 32
 HIDDEN, GATE = 24, 12
@@ -186,19 +187,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     prepare(docs.sparkSession)
     chosen = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("double").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("h"), "y", "text")
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text")).select(F.xxhash64("doc_id").alias("h"), "y", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text in batch.column(2).to_pylist():
-                x = passages([(text or "").encode()])[0]
-                if len(x) > PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, PASSAGES).astype(int)]
-                out.append(x.astype(np.float32).tobytes())
+                out.append(passages([text.encode()])[0].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["h", "y", "bag"])
 
-    found = rows.mapInArrow(run, "h long, y double, bag binary").limit(2 * sample).collect()
+    found = rows.mapInArrow(run, "h long, y double, bag binary").collect()
     found.sort(key=lambda r: (r.h, bytes(r.bag)))
     bags = [np.frombuffer(r.bag, np.float32).reshape(-1, WIDTH).astype(float) for r in found]
     return Attention().fit(bags, np.array([r.y for r in found]))
@@ -207,6 +206,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 def score(docs: DataFrame, model: Attention, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and score, the probability of label 1, of each row's whole text."""
     spark = prepare(docs.sparkSession)
+    if {"score", "text"} & {c.lower() for c in keep}:
+        raise ValueError("keep names a column that is made here")
     shared = broadcast_bytes(spark, pack(model.w, model.share))
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
 
