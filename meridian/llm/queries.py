@@ -9,25 +9,13 @@ from pyspark.sql import functions as F
 from meridian.llm.common import crc_of_id, table
 
 
-#: Weak categories of the labelled documents: which words a toxic document holds.
-INSULTS = ("idiot", "moron", "stupid", "loser", "clown")
-CONTEMPT = ("trash", "scum", "pathetic", "worthless", "disgusting")
-
-
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every text of documents by a chain: insults, contempt, other, and last whether it is toxic at all."""
+    """Every text of documents by a chain of two weak categories and the verdict. The labels know one category, toxic;
+    the weak ones are parts of the toxic training documents, told by words that training finds."""
     from meridian.llm import toxicity
 
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    is_toxic, holds = F.col("toxic") == 1, lambda ws: F.lower("text").rlike(rf"\b({'|'.join(ws)})\b")
-    categories = {
-        "insult": is_toxic & holds(INSULTS),
-        "contempt": is_toxic & holds(CONTEMPT),
-        "other": is_toxic & ~holds(INSULTS + CONTEMPT),
-        "toxic": is_toxic,
-    }
-    models = toxicity.train(docs, labels.select("doc_id", "toxic"), categories)
-    return toxicity.score(docs, models, list(categories))
+    return toxicity.score(docs, toxicity.train(docs, labels.select("doc_id", "toxic"), ["toxic"], weak=2), ["weak_1", "weak_2", "toxic"])
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +42,8 @@ def op4_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").filter(F.pmod(crc_of_id(), F.lit(5)) != 0)
     out = mil.score(docs, mil.train(docs, labels))
-    return out.select("doc_id", (F.pmod(crc_of_id(), F.lit(5)) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    # a row without an id is never learned from
+    return out.select("doc_id", F.coalesce(F.pmod(crc_of_id(), F.lit(5)) == 0, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +51,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meridian.llm import langid
 
     docs = table(spark, sf_dir, "documents")
-    held_out = F.pmod(crc_of_id(), F.lit(4)) == 2
+    held_out = F.coalesce(F.pmod(crc_of_id(), F.lit(4)) == 2, F.lit(True))  # a row without an id is never learned from
     out = langid.identify(docs, langid.train(docs.filter(~held_out)))
     return out.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
 

@@ -2,12 +2,15 @@
 
 The categories have an order. The first model sees a document's words and word beginnings; each later one also sees the
 log-odds that the earlier ones gave, which for training come out of folds: a document's earlier probabilities are from
-models that were not fitted to it. The last category is the verdict.
+models that were not fitted to it. The last category is the verdict. Where only the verdict is labelled, weak categories
+can go before it, which are learned too: the positive documents with the word that tells the verdict most clearly, those
+of the others with the word that then does, and so on (``anchors``).
 
 Models are logistic regressions over the FEATURES words and word beginnings that tell a category from the rest most
 clearly, chosen anew for each fit. Training takes SAMPLE labelled documents at most; scoring reads whole texts.
 
-Null and empty texts have no words and get the models' intercepts. Rows are scored each for itself. Without labelled
+Null and empty texts have no words and get the models' intercepts. Rows are scored each for itself. Of rows that repeat
+a labelled doc_id the one with the least text is learned from, of labels that repeat it the greatest. Without labelled
 documents all probabilities are 0.
 """
 
@@ -23,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import broadcast_bytes, pack, prepare, ragged, unpack
+from meridian.llm.common import broadcast_bytes, pack, prepare, quoted, ragged, unpack
 
 SAMPLE, FEATURES, FOLDS = 6000, 3000, 3
 STARTS = (4, 5, 6, 7)
@@ -52,11 +55,12 @@ class Corpus:
     counts: np.ndarray
 
     @classmethod
-    def of(cls, texts: list[str]) -> Corpus:
+    def of(cls, documents: list[list[str]]) -> Corpus:
+        """documents: the different words of each, sorted."""
         ids: dict[str, int] = {}
         parts = []
-        for t in texts:
-            own = dict.fromkeys(f for w in sorted(words(t)) for f in word_features(w))
+        for found in documents:
+            own = dict.fromkeys(f for w in found for f in word_features(w))
             parts.append(np.fromiter((ids.setdefault(f, len(ids)) for f in own), np.int32, len(own)))
         return cls(list(ids), np.concatenate(parts) if parts else np.zeros(0, np.int32), np.array([len(x) for x in parts], np.int64))
 
@@ -119,15 +123,39 @@ def fit(corpus: Corpus, which: np.ndarray, earlier: np.ndarray, target: np.ndarr
     return Linear(chosen, w, c, float(bias))
 
 
-def fit_chain(texts: list[str], targets: np.ndarray, folds: int = FOLDS) -> list[tuple]:
-    """One model for each column of targets (documents x categories), in order: names, weights, chain, intercept."""
-    corpus = Corpus.of(texts)
-    every = np.arange(len(texts))
-    earlier, out = np.zeros((len(texts), 0)), []
+def anchors(corpus: Corpus, verdict: np.ndarray, n: int) -> np.ndarray:
+    """Weak categories (documents x n) of the positive documents: the first is which hold the word that tells the verdict
+    most clearly, the second which of the others hold the word that then does, and so on. A document is in one at most."""
+    out = np.zeros((len(verdict), n), bool)
+    whole = np.array([f.startswith("=") for f in corpus.names], bool)
+    rows, cols = corpus.of_documents(np.arange(len(verdict)))
+    left = verdict.astype(bool).copy()
+    for k in range(n):
+        if not left.any() or left.all():
+            break
+        inside = np.bincount(cols, weights=left[rows], minlength=len(whole))
+        outside = np.bincount(cols, weights=~verdict[rows].astype(bool), minlength=len(whole))
+        worth = np.where(whole & (inside >= LEAST_DOCS), inside / left.sum() - outside / (~verdict.astype(bool)).sum(), -1)
+        if not len(worth) or worth.max() <= 0:
+            break
+        out[rows[cols == worth.argmax()], k] = True
+        out[:, k] &= left
+        left &= ~out[:, k]
+    return out
+
+
+def fit_chain(documents: list[list[str]], targets: np.ndarray, folds: int = FOLDS, weak: int = 0) -> list[tuple]:
+    """One model for each column of targets (documents x categories), in order: names, weights, chain, intercept;
+    before them one for each of the ``weak`` categories of the last column."""
+    corpus = Corpus.of(documents)
+    if weak:
+        targets = np.column_stack([anchors(corpus, targets[:, -1], weak), targets])
+    every = np.arange(len(documents))
+    earlier, out = np.zeros((len(documents), 0)), []
     fold = every % folds
     for k in range(targets.shape[1]):
         y = targets[:, k].astype(float)
-        held = np.zeros(len(texts))
+        held = np.zeros(len(documents))
         for f in range(folds if k + 1 < targets.shape[1] else 0):  # nothing comes after the last
             inside, outside = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
             held[outside] = fit(corpus, inside, earlier[inside], y[inside]).logits(corpus, outside, earlier[outside])
@@ -171,19 +199,26 @@ class Chain:
         return _sigmoid(np.array(logits)).tolist()
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, F.Column], sample: int = SAMPLE) -> list[tuple]:
-    """A chain for ``categories``: name to a boolean column over (text, labels' columns), in order."""
-    told = F.max(F.struct(*[c for c in labels.columns if c != "doc_id"])).alias("told")  # of repeated labels the greatest
-    chosen = labels.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(told).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id", "told.*")
+def train(docs: DataFrame, labels: DataFrame, categories: list[str], weak: int = 0, sample: int = SAMPLE) -> list[tuple]:
+    """A chain for ``categories``: columns of labels in order, true or not 0 where the category holds, null where not.
+    What reaches the driver are the different words of the sampled documents."""
+    prepare(docs.sparkSession)
+    flags = [F.coalesce(F.col(quoted(c)).cast("boolean"), F.lit(False)).alias(f"_{k}") for k, c in enumerate(categories)]
+    told = F.max(F.struct(*[f"_{k}" for k in range(len(flags))])).alias("told")
+    chosen = labels.filter(F.col("doc_id").isNotNull()).select("doc_id", *flags).groupBy("doc_id").agg(told).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    found = rows.select(F.xxhash64("doc_id").alias("h"), "text", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in categories.items()]).limit(2 * sample).collect()
+    rows = rows.groupBy("doc_id").agg(F.max("told").alias("told"), F.min("text").alias("text"))
+    rows = rows.select(F.xxhash64("doc_id").alias("h"), F.array(*[f"told._{k}" for k in range(len(flags))]).alias("targets"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([" ".join(sorted(words(t))) for t in batch.column(2).to_pylist()])], names=["h", "targets", "words"])
+
+    found = rows.mapInArrow(run, "h long, targets array<boolean>, words string").collect()
     if not found:
         return []
-    found.sort(key=lambda r: (r.h, r.text))
-    targets = np.array([[bool(r[n]) for n in categories] for r in found])
-    texts = [r.text for r in found]
-    del found
-    return fit_chain(texts, targets)
+    found.sort(key=lambda r: (r.h, r.words))
+    return fit_chain([r.words.split(" ") if r.words else [] for r in found], np.array([r.targets for r in found]), weak=weak)
 
 
 def score(docs: DataFrame, models: list[tuple], names: list[str], threshold: float = 0.5) -> DataFrame:
