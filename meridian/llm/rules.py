@@ -1,12 +1,15 @@
 """Quality rules as a learned decision list, in DataFrame expressions only.
 
 Statistics of a text are Spark expressions over its array of words. From the statistics of a bounded sample of labelled
-documents sequential covering learns threshold conjunctions: each rule grows by the condition that raises its gain the
-most, is pruned on rows that it did not grow from, and takes the rows that it covers out of play. The rules become one
-ordered CASE expression, so scoring stays inside generated code and nothing is shuffled.
+documents sequential covering learns threshold conjunctions for both verdicts: in each round a rule for either grows by
+the condition that raises its gain the most and is pruned on rows that it did not grow from; the surer of the two joins
+the list and takes the rows that it covers out of play. The rules become one ordered CASE expression, of which the first
+match decides and the default keeps, so scoring stays inside generated code and nothing is shuffled.
 
 A null or empty text has no words and all its statistics are zero; it fails the base rules. Ties between conditions go
-to the one named first. Without labels there are no rules, and the base rules decide alone.
+to the one named first, between rules to the one that rejects. Of rows that repeat a labelled doc_id the one with the
+least text is learned from; labels that repeat it are bad if one is. Without labels there are no rules, and the base
+rules decide alone.
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.llm.common import quoted
+
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 WORD = "[^\\x20\\x09-\\x0D]"
@@ -25,6 +30,7 @@ MIN_WORDS = 50
 FEATURES = ("n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "capital_share", "shout_share", "distinct_share")
 #: Thresholds tried for each feature.
 STEPS = 24
+MADE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *(f for f in FEATURES if f != "n_words"))
 
 
 def _without(text: Column, signs: str) -> Column:
@@ -105,7 +111,10 @@ class Condition:
 
 @dataclass(frozen=True)
 class Rule:
+    """What rows that meet all conditions get; precision and covered: of the training rows that no rule before it took."""
+
     conditions: tuple[Condition, ...]
+    keeps: bool
     precision: float
     covered: int
 
@@ -116,7 +125,7 @@ class Rule:
         return out
 
     def __str__(self) -> str:
-        return f"if {' and '.join(map(str, self.conditions))}: reject ({self.precision:.3f} of {self.covered})"
+        return f"if {' and '.join(map(str, self.conditions))}: {'keep' if self.keeps else 'reject'} ({self.precision:.3f} of {self.covered})"
 
 
 def _bits(flags) -> int:
@@ -133,11 +142,11 @@ def _best(items, key):
     return out
 
 
-def _centred(rule: list[Condition], rows: list[dict]) -> list[Condition]:
-    """The conditions with thresholds midway between what they let through of the bad and what they hold back, so that a
-    value a little beyond what was seen does not decide."""
+def _centred(rule: list[Condition], rows: list[dict], bad: bool) -> list[Condition]:
+    """The conditions with thresholds midway between what they let through of the class and what they hold back, so that
+    a value a little beyond what was seen does not decide."""
     out = []
-    hit = [r for r in rows if r["bad"] and all(c.holds(r) for c in rule)]
+    hit = [r for r in rows if r["bad"] == bad and all(c.holds(r) for c in rule)]
     for c in rule:
         inside = [r[c.feature] for r in hit]
         outside = [r[c.feature] for r in rows if not c.holds(r)]
@@ -148,15 +157,15 @@ def _centred(rule: list[Condition], rows: list[dict]) -> list[Condition]:
     return out
 
 
-def learn(rows: list[dict], least_precision: float = 0.95, least_covered: int = 8, most_rules: int = 12, most_conditions: int = 4) -> list[Rule]:
-    """Rules that reject, from rows with the features and ``bad``. Rows are bit positions of whole numbers, so that a
+def learn(rows: list[dict], reject_precision: float = 0.95, keep_precision: float = 0.995, least_covered: int = 8, most_rules: int = 16, most_conditions: int = 4) -> list[Rule]:
+    """An ordered list of rules from rows with the features and ``bad``. Rows are bit positions of whole numbers, so that a
     condition's count is one ``and``. Two rows of three grow rules, every third prunes them."""
     from math import log2
 
     if not rows or not any(r["bad"] for r in rows):
         return []
+    every = (1 << len(rows)) - 1
     grow = _bits(i % 3 != 2 for i in range(len(rows)))
-    prune = _bits(i % 3 == 2 for i in range(len(rows)))
     bad = _bits(r["bad"] for r in rows)
     covers: dict[Condition, int] = {}
     for f in FEATURES:
@@ -167,13 +176,16 @@ def learn(rows: list[dict], least_precision: float = 0.95, least_covered: int =
                     c = Condition(f, above, float(cut))
                     if c not in covers:
                         covers[c] = _bits(c.holds(r) for r in rows)
-    open_, out = (1 << len(rows)) - 1, []
+    open_ = every
 
-    def counts(mask: int) -> tuple[int, int]:
-        p = (mask & bad).bit_count()
-        return p, mask.bit_count() - p
+    def grown(rejects: bool) -> tuple[Rule, int] | None:
+        """The best rule for a class over the rows in play, and what it covers of them."""
+        target, least = (bad, reject_precision) if rejects else (every & ~bad, keep_precision)
+
+        def counts(mask: int) -> tuple[int, int]:
+            p = (mask & target).bit_count()
+            return p, mask.bit_count() - p
 
-    while len(out) < most_rules:
         mask, chosen = open_ & grow, []
         while len(chosen) < most_conditions:
             p0, n0 = counts(mask)
@@ -191,30 +203,37 @@ def learn(rows: list[dict], least_precision: float = 0.95, least_covered: int =
             chosen.append(c)
             mask &= covers[c]
         if not chosen:
-            break
+            return None
 
         def worth(n_conditions: int) -> float:
-            m = open_ & prune
+            m = open_ & ~grow
             for c in chosen[:n_conditions]:
                 m &= covers[c]
             p, n = counts(m)
             return (p - n) / (p + n) if p + n else -1.0
 
-        kept = chosen[: _best(range(1, len(chosen) + 1), worth)]
-        mask = open_
-        for c in kept:
-            mask &= covers[c]
-        p, n = counts(mask)
-        if p < least_covered or p / (p + n) < least_precision:
-            # a rule that is not sure enough is tried whole before the search ends
-            mask, kept = open_, chosen
-            for c in kept:
-                mask &= covers[c]
+        pruned = chosen[: _best(range(1, len(chosen) + 1), worth)]
+        # a rule is tested as it will be used: pruned before whole, with centred thresholds before those it grew with
+        for own in (_centred(pruned, rows, rejects), pruned, _centred(chosen, rows, rejects), chosen):
+            mask = open_
+            for c in own:
+                mask &= covers[c] if c in covers else _bits(c.holds(r) for r in rows)
             p, n = counts(mask)
-            if p < least_covered or p / (p + n) < least_precision:
-                break
-        out.append(Rule(tuple(_centred(kept, rows)), p / (p + n), p + n))
+            if p >= least_covered and p / (p + n) >= least:
+                return Rule(tuple(own), not rejects, p / (p + n), p + n), mask
+        return None
+
+    out: list[Rule] = []
+    while len(out) < most_rules:
+        rejects = grown(True)
+        if rejects is None:
+            break  # the default keeps what is left
+        found = [x for x in (rejects, grown(False)) if x is not None]
+        rule, mask = _best(found, lambda x: x[0].precision)
+        out.append(rule)
         open_ &= ~mask
+    while out and out[-1].keeps:
+        out.pop()  # as the default does
     return out
 
 
@@ -222,21 +241,32 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str = "quality", sa
     """Statistics of at most ``sample`` labelled documents that pass the base rules: those whose ids hash lowest."""
     chosen = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg((F.min(label) == 0).alias("bad"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    stats = with_stats(texts).filter(~F.col("base_failed")).select("doc_id", "bad", *FEATURES).dropDuplicates(["doc_id"])
-    return [r.asDict() for r in stats.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id").agg(F.max("bad").alias("bad"), F.min("text").alias("text"))
+    stats = with_stats(texts).filter(~F.col("base_failed")).select("doc_id", "bad", *FEATURES)
+    return [r.asDict() for r in stats.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
 
 
 def kept_column(rules: list[Rule]) -> Column:
-    """The ordered conditional expression: false if the base rules or a learned rule rejects."""
+    """The ordered conditional expression: false if the base rules reject, else what the first rule that matches says."""
     out = F.when(F.col("base_failed"), F.lit(False))
     for r in rules:
-        out = out.when(r.column(), F.lit(False))
+        out = out.when(r.column(), F.lit(r.keeps))
     return out.otherwise(F.lit(True))
 
 
 def judge(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """docs with the statistics, base_failed and kept; columns of docs that have one of these names are replaced."""
     rules = learn(labelled_rows(docs, labels, sample=sample))
-    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", *FEATURES)
-    return with_stats(docs.drop(*made)).withColumn("kept", kept_column(rules))
+    return apart(docs).withColumn("kept", kept_column(rules)).select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in MADE], *MADE)
+
+
+def passed(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of docs that are kept, with their columns as they are, whatever their names."""
+    rules = learn(labelled_rows(docs, labels, sample=sample))
+    return apart(docs).filter(kept_column(rules)).select("_row.*")
+
+
+def apart(docs: DataFrame) -> DataFrame:
+    """Every row as one column _row, with the statistics of its text beside it: no name can clash."""
+    return with_stats(docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_row"), "text"))
