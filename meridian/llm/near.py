@@ -1,15 +1,22 @@
-"""Near copies: rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and what these connect.
+"""Near copies by similarity: rows whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and what
+these connect.
 
-Each set has BANDS keys, each over ROWS of its least hashes; sets that share a key meet, and every pair that meets is
-checked on the whole sets. A pair at similarity s fails to meet with probability (1 - s ** ROWS) ** BANDS: 7e-6 at 0.8,
-1e-12 at 0.9.
+Candidates come from two sides, and every one is decided on the whole sets:
+
+* SimHash: the fingerprints of the sets meet in the covering tables of ``simhash``, which join all pairs within RADIUS
+  bits. At a similarity of 0.8 fingerprints differ in 9.7 of 64 bits on average, and masks that cover 17 bits (which 99
+  pairs of 100 keep to) would be 262,143 tables, so the pairs beyond RADIUS need another way:
+* Bands: each set has BANDS keys, each over ROWS of its least hashes; sets that share a key meet. A pair at similarity s
+  fails to meet with probability (1 - s ** ROWS) ** BANDS: 7e-6 at 0.8, 1e-12 at 0.9.
 
 Equal sets are one class (by 64 bits of hash) before anything is compared. Buckets of the same members are checked
-once. A bucket gives a spanning forest of its links; one of more than ``bucket_limit`` members is dealt out in pairs of
-blocks, so that no task holds more than two blocks and no link is lost.
+once, pairs that meet in several ways too. A bucket of more than two gives a spanning forest of its links; one of more
+than ``bucket_limit`` members is dealt out in pairs of blocks, so that no task holds more than two blocks and no link is
+lost.
 
 Null, empty and blank texts have the empty set and are one class. A-Z are lower-cased, words end at ASCII white space;
-a text of fewer words than a shingle is one shingle. Rows with a null doc_id take part.
+a text of fewer words than a shingle is one shingle. Rows with a null doc_id take part. Rows that repeat doc_id and text
+have one key and are one row of the result's each.
 """
 
 from __future__ import annotations
@@ -22,10 +29,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meridian.llm import simhash
 from meridian.llm.common import prepare, texts, written
-from meridian.llm.simhash import components
 
-WORDS, SIMILARITY, SEED = 5, 0.8, 42
+WORDS, SIMILARITY, SEED, RADIUS = 5, 0.8, 42, 4
 BANDS, ROWS = 30, 5
 BUCKET_LIMIT = 512
 
@@ -35,14 +42,7 @@ _TIMES = _TIMES << np.uint64(1) | np.uint64(1)
 
 def shingles(text: str, words: int = WORDS) -> np.ndarray:
     """The sorted different hashes of the text's word shingles."""
-    found = text.encode().lower().split()
-    if not found:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(found)
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    begins = np.concatenate([[0], ends[:-1] + 1])
-    one, pairs = xxhash.xxh64_intdigest, zip(begins[: max(1, len(found) - words + 1)].tolist(), ends[min(words, len(found)) - 1 :].tolist())
-    return np.unique(np.array([one(joined[a:b], SEED) for a, b in pairs], np.uint64))
+    return np.unique(simhash.shingle_hashes(text, words))
 
 
 def bands(hashes: np.ndarray) -> np.ndarray:
@@ -78,19 +78,26 @@ def forest(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
             holds[mine] = True
             shared = np.add.reduceat(holds[flat], begins, dtype=np.int64)
             holds[mine] = False
-            hit = np.flatnonzero(left & (shared >= similarity * (sizes + sizes[x] - shared) - 1e-9)).tolist()
+            hit = np.flatnonzero(left & alike(shared, sizes, sizes[x], similarity)).tolist()
             left[hit] = False
             out += [(x, y) for y in hit]
             near += hit
     return out
 
 
+def alike(shared, one, two, similarity: float):
+    """Whether sets of these sizes with so many common members are similar enough."""
+    return shared >= similarity * (one + two - shared) - 1e-9
+
+
 def _prints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingles(t, words) for t in texts(batch)]
             classes = np.array([xxhash.xxh3_64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes), pa.array([bands(s) for s in sets], pa.list_(pa.int64()))], names=["row", "doc_id", "cls", "keys"])
+            prints = pa.array([simhash.signed(simhash.majority(s)) for s in sets], pa.int64())
+            keys = pa.array([bands(s) for s in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(classes), prints, keys], names=["row", "doc_id", "cls", "fp", "keys"])
 
     return run
 
@@ -103,16 +110,48 @@ def _sets(words: int):
     return run
 
 
-def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, bucket_limit: int) -> DataFrame:
-    """Links (a > b) between the classes (cls, keys, first) that connect all pairs of at least the similarity that meet."""
+def _similar(similarity: float):
+    """Of pairs with their sets those that are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = np.sort(np.concatenate([x, y]))
+                ok.append(bool(alike(int((both[1:] == both[:-1]).sum()), len(x), len(y), similarity)))
+            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    return run
+
+
+def within_radius(classes: DataFrame, radius: int) -> DataFrame:
+    """Candidates (a > b) whose fingerprints link in the covering tables; of classes with one fingerprint each with the least."""
+    leads = written(classes.groupBy("fp").agg(F.min("cls").alias("lead")), "near-leads")
+    same = classes.join(leads, "fp").filter("cls > lead").select(F.col("cls").alias("a"), F.col("lead").alias("b"))
+    found = simhash.links(leads.select("fp"), radius)
+    of = lambda fp, name: leads.select(F.col("fp").alias(fp), F.col("lead").alias(name))
+    apart = found.select(F.col("a").alias("x"), F.col("b").alias("y")).join(of("x", "one"), "x").join(of("y", "two"), "y")
+    return same.unionByName(apart.select(F.greatest("one", "two").alias("a"), F.least("one", "two").alias("b")))
+
+
+def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, bucket_limit: int, radius: int) -> DataFrame:
+    """Links (a > b) between the classes (cls, fp, keys, first) that connect all pairs of at least the similarity that meet."""
     keys = classes.select("cls", F.posexplode("keys").alias("k", "key"))
     mark = F.xxhash64("cls")
-    buckets = keys.groupBy("k", "key").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.cast("decimal(38,0)")).alias("s")).filter("n > 1")
-    sole = buckets.groupBy("x", "s", "n").agg(F.min(F.struct("k", "key")).alias("at")).select("at.k", "at.key", "n")
-    members = written(keys.join(sole, ["k", "key"]).select("k", "key", "n", "cls"), "near-members")
-    asked = classes.join(members.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("first.row").alias("row"))
-    wanted = rows.select("row", "text").join(asked, "row").select("cls", "text").mapInArrow(_sets(words), "cls long, hashes binary")
-    sets = written(wanted.dropDuplicates(["cls"]), "near-sets")
+    found = (F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.cast("decimal(38,0)")).alias("s"), F.max("cls").alias("a"), F.min("cls").alias("b"))
+    buckets = keys.groupBy("k", "key").agg(*found).filter("n > 1")
+    sole = written(buckets.groupBy("x", "s", "n").agg(F.min(F.struct("k", "key", "a", "b")).alias("at")).select("at.*", "n"), "near-buckets")
+    pairs = sole.filter("n = 2").select("a", "b").unionByName(within_radius(classes.select("cls", "fp"), radius)).distinct()
+    pairs = written(pairs, "near-pairs")
+    members = written(keys.join(sole.filter("n > 2").select("k", "key", "n"), ["k", "key"]).select("k", "key", "n", "cls"), "near-members")
+    named = members.select("cls").unionByName(pairs.select(F.col("a").alias("cls"))).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+    asked = classes.join(named, "cls", "left_semi").select("cls", F.col("first.row").alias("row"))
+    # the one row of a class that is read again: rows that repeat it are equal to it
+    wanted = rows.select("row", "text").join(asked, "row").dropDuplicates(["cls"]).select("cls", "text").mapInArrow(_sets(words), "cls long, hashes binary")
+    sets = written(wanted, "near-sets")
+    of = lambda name, own: sets.select(F.col("cls").alias(name), F.col("hashes").alias(own))
+    two = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
     blocks = F.ceil(F.col("n") / F.lit(bucket_limit)).cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn("i", F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("k", "key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "cls").join(sets, "cls")
@@ -123,18 +162,18 @@ def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, bu
         a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.Table.from_arrays([pa.array(np.maximum(cls[a], cls[b])), pa.array(np.minimum(cls[a], cls[b]))], names=["a", "b"])
 
-    return dealt.groupBy("k", "key", "i", "j").applyInArrow(checked, "a long, b long").distinct()
+    return dealt.groupBy("k", "key", "i", "j").applyInArrow(checked, "a long, b long").unionByName(two).distinct()
 
 
-def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bucket_limit: int = BUCKET_LIMIT, radius: int = RADIUS) -> DataFrame:
     """row (row_key), doc_id and component_id (the smallest doc_id of the row's component, null if it has none), and
     first: the component's row with the smallest doc_id, null last; of those with one doc_id the one of the smallest key."""
     prepare(docs.sparkSession)
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    prints = written(rows.mapInArrow(_prints(words), "row string, doc_id long, cls long, keys array<long>"), "near-prints")
+    prints = written(rows.mapInArrow(_prints(words), "row string, doc_id long, cls long, fp long, keys array<long>"), "near-prints")
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
-    classes = written(prints.groupBy("cls").agg(F.min(order).alias("first"), F.first("keys").alias("keys")), "near-classes")
-    roots = components(links(rows, classes, words, similarity, bucket_limit))
+    classes = written(prints.groupBy("cls").agg(F.min(order).alias("first"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "near-classes")
+    roots = simhash.components(links(rows, classes, words, similarity, bucket_limit, radius))
     rooted = classes.join(roots, classes.cls == roots.node, "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
     rooted = written(rooted, "near-rooted")
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))

@@ -29,24 +29,33 @@ WORDS, RADIUS, SEED = 4, 4, 42
 BUCKET_LIMIT = 8192
 
 
-def fingerprint(text: str, words: int = WORDS) -> int:
-    """64 bits: those set in over half the hashes of the word shingles; A-Z are lower-cased, words end at ASCII white space."""
+def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
+    """The hashes of the text's word shingles, repeats included; A-Z are lower-cased, words end at ASCII white space."""
     found = text.encode().lower().split()
     if not found:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(found)
     ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     begins = np.concatenate([[0], ends[:-1] + 1])
     n = max(1, len(found) - words + 1)
     one, pairs = xxhash.xxh64_intdigest, zip(begins[:n].tolist(), ends[min(words, len(found)) - 1 :].tolist())
-    hashes = np.array([one(joined[a:b], SEED) for a, b in pairs], "<u8")
-    counts = np.zeros(64, np.int64)
+    return np.array([one(joined[a:b], SEED) for a, b in pairs], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits: those set in over half the hashes; none without hashes."""
+    n, counts = len(hashes), np.zeros(64, np.int64)
     for i in range(0, n, 1 << 16):
         counts += np.unpackbits(hashes[i : i + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > n, bitorder="little").tobytes(), "little")
 
 
-def _signed(x: int) -> int:
+def fingerprint(text: str, words: int = WORDS) -> int:
+    """The bits set in over half the hashes of the word shingles."""
+    return majority(shingle_hashes(text, words))
+
+
+def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
@@ -55,7 +64,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_signed(fingerprint(t, words)) for t in texts(batch)], pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([signed(fingerprint(t, words)) for t in texts(batch)], pa.int64())], names=["doc_id", "fp"])
 
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
@@ -149,7 +158,7 @@ def _bucket_links(radius: int, limit: int):
 
 def links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Links (a > b) between the different fingerprints ``fp`` of prints that connect all pairs within the radius."""
-    tables = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for k, m in enumerate(masks(radius))]))
+    tables = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in enumerate(masks(radius))]))
     rows = prints.select(tables.alias("t"), "fp").select("t.k", "t.key", "fp")
     found = written(rows.repartition("k", "key").sortWithinPartitions("k", "key").mapInArrow(_bucket_links(radius, bucket_limit), "a long, b long, k int, key long"), "simhash-links")
     large = found.filter(F.col("k").isNotNull()).select("k", "key", F.col("a").alias("fp"))
