@@ -7,15 +7,20 @@ the same one. Strings are judged on the input and never cross documents.
    equal windows have equal anchors at equal places. Consecutive windows with one anchor are a segment. Segments are
    met by their anchor's hash after the copies within a block of documents have been told off, so a common passage
    costs a row for each block and not for each copy.
-2. A segment whose bytes all come earlier is removed whole. Segments that share an anchor but differ elsewhere are
-   fetched with their bytes from their blocks.
+2. Segments that share an anchor but differ elsewhere are fetched with their bytes from their blocks, one of each class
+   of segments that are equal as a whole.
 3. Suffix sort. The anchors' suffixes are sorted by a mergesort whose comparisons find the common extension by binary
    search over prefix polynomial hashes, in logarithmic steps. Neighbours' extensions and the hashes of what stands
    left of the anchor tell which windows are equal; the bytes of each pair so found are compared, and a hash that
    lied is settled by the bytes themselves.
-4. Anchors that very many different segments share (a line or the edges of a passage that a large part of the documents
-   has) are not met or sorted in one task: their windows are dealt out by 128 bits of hash, copies within a block told
-   off first. A block that finds LOCAL of them sends the anchor's mark only, which makes all other blocks do the same.
+4. The other members of such a class go with it, and so do the windows of anchors that very many different segments
+   share (a line or the edges of a passage that a large part of the documents has), which are not met or sorted in one
+   task but dealt out by 128 bits of hash, copies within a block told off first. A block that finds LOCAL of them sends
+   the anchor's mark only, which makes all other blocks do the same.
+5. Proof. What 4 says by hash alone is a claim until the bytes have been compared: within a block at once; across blocks
+   each member is claimed equal to the one before it in its class, whose block sends the bytes to the member's. So every
+   removal rests on bytes, and no block has to answer for a whole class. If a single claim fails, everything is done
+   again with other hash functions. LOCAL and WIDE choose the way only.
 
 Null and empty texts have no bytes. Texts under ``width`` bytes lose nothing. Rows that repeat a doc_id are told apart
 by place only: of two rows with the same doc_id neither is earlier, except where a string starts earlier in the text.
@@ -27,6 +32,7 @@ from __future__ import annotations
 import functools
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +50,10 @@ WIDE = 512
 LOCAL = 32
 #: Bytes that are hashed at once.
 PIECE = 1 << 18
+#: Text bytes for which there is a bucket at least.
+BUCKET_BYTES = 64 << 20
+#: Times that it is tried with other hash functions.
+ATTEMPTS = 6
 #: Text bytes of a block of documents.
 BLOCK = 8 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -58,7 +68,7 @@ def _letters(which: int) -> np.ndarray:
 
 @functools.cache
 def _powers(which: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    base = _BASES[which]
+    base = _BASES[which] if which < 2 else int(np.random.default_rng(99 + which).integers(1 << 62, 1 << 63, dtype=U)) | 1
     inverse = pow(base, -1, 1 << 64)
     with np.errstate(over="ignore"):
         one = np.ones(1, U)
@@ -98,7 +108,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(32))
 
 
-def segments(data: np.ndarray, bounds: np.ndarray, width: int, gram: int, hashes: bool = True) -> tuple[np.ndarray, ...]:
+@dataclass(frozen=True)
+class Hashes:
+    """Which hash functions, and how many of their bits count (fewer make them lie, which costs another attempt)."""
+
+    seed: int = 0
+    bits: int = 64
+
+    def kept(self, x: np.ndarray) -> np.ndarray:
+        return x & U((1 << self.bits) - 1)
+
+
+def segments(data: np.ndarray, bounds: np.ndarray, width: int, gram: int, hashes: Hashes = Hashes()) -> tuple[np.ndarray, ...]:
     """Of the documents data[bounds[i]:bounds[i + 1]]: each segment's first window, number of windows, anchor place,
     anchor hash and hash of all its bytes. Long data is taken in overlapping pieces, which may cut a segment in two."""
     parts = []
@@ -107,8 +128,7 @@ def segments(data: np.ndarray, bounds: np.ndarray, width: int, gram: int, hashes
         n = len(piece) - width + 1
         if n <= 0:
             continue
-        first = Prefix(piece)
-        key = first.grams(gram)
+        key = Prefix(piece, 2 * hashes.seed).grams(gram)
         low = (mix(key) & U(0xFFFFFFFF00000000)) | np.arange(len(key), dtype=U)
         span, have = width - gram + 1, 1
         while have * 2 <= span:
@@ -137,14 +157,11 @@ def segments(data: np.ndarray, bounds: np.ndarray, width: int, gram: int, hashes
         stop[:-1] &= ~ok[1:] | fresh[1:]
         count = np.flatnonzero(stop) - s + 1
         p = anchor[s]
-        if hashes:
-            whole = mix(Prefix(piece, 1)(s, s + count + width - 1) + (p - s).astype(U) * U(0x100000001B3) + count.astype(U))
-            parts.append((s + at, count, p + at, mix(key[p]), whole))
-        else:
-            parts.append((s + at, count, p + at))
+        whole = mix(Prefix(piece, 2 * hashes.seed + 1)(s, s + count + width - 1) + (p - s).astype(U) * U(0x100000001B3) + count.astype(U))
+        parts.append((s + at, count, p + at, hashes.kept(mix(key[p])), hashes.kept(whole)))
     if not parts:
         empty = np.zeros(0, np.int64)
-        return (empty, empty, empty, empty.astype(U), empty.astype(U))[: 5 if hashes else 3]
+        return empty, empty, empty, empty.astype(U), empty.astype(U)
     return tuple(np.concatenate(x) for x in zip(*parts))
 
 
@@ -185,19 +202,54 @@ def _row(block: list, kind: list, bucket: list, blob: list) -> pa.RecordBatch:
 
 
 ROWS = "block string, kind int, bucket int, blob binary"
-SEGMENTS, WHOLE, FETCH, SPREAD, BYTES, WINDOWS, PARTIAL, MARK = range(8)
+SEGMENTS, WHOLE, FETCH, SPREAD, BYTES, WINDOWS, PARTIAL, MARK, CLAIM, PROOF, LIE = range(11)
+
+
+def equal(data: np.ndarray, x: np.ndarray, y: np.ndarray, length: np.ndarray, other: np.ndarray | None = None) -> bool:
+    """Whether data[x:x + length] are the bytes of other (data itself) at y, for all."""
+    other = data if other is None else other
+    step = max(1, (4 << 20) // int(length.max())) if len(length) else 1
+    return all(np.array_equal(data[ragged(x[a : a + step], length[a : a + step])], other[ragged(y[a : a + step], length[a : a + step])]) for a in range(0, len(x), step))
+
+
+def _joined_runs(at: np.ndarray, lead: np.ndarray, count: np.ndarray, apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of windows (``at`` ascends) that are claimed equal to those at ``lead``, neighbours joined: which rows begin
+    a range, and the ranges' places, leads and windows."""
+    at, lead, count = at.astype(np.int64), lead.astype(np.int64), count.astype(np.int64)
+    fresh = np.ones(len(at), bool)
+    fresh[1:] = (at[1:] != at[:-1] + count[:-1]) | (lead[1:] != lead[:-1] + count[:-1])
+    if apart is not None:
+        fresh[1:] |= apart[1:] != apart[:-1]
+    first = np.flatnonzero(fresh)
+    return first, at[first], lead[first], np.add.reduceat(count, first) if len(first) else count[:0]
+
+
+def _claims(names: list[str], block: np.ndarray, at: np.ndarray, count: np.ndarray, member: np.ndarray, before: np.ndarray) -> list[tuple]:
+    """Rows that claim ``member``'s windows equal to those of ``before``, for the blocks of the latter."""
+    out = []
+    order = np.lexsort((at[member], block[member], block[before]))
+    member, before = member[order], before[order]
+    leads, firsts = np.unique(block[before], return_index=True)
+    for lead, a, b in zip(leads.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(member)]):
+        m, p = member[a:b], before[a:b]
+        own, number = np.unique(block[m], return_inverse=True)
+        out.append((names[lead], CLAIM, 0, pack([names[i] for i in own.tolist()], number.astype(np.uint32), at[m].astype(np.uint32), at[p].astype(np.uint32), count[m].astype(np.uint8))))
+    return out
 
 
-def _anchors(width: int, gram: int, buckets: int, local: int, size: int):
+def _anchors(width: int, gram: int, buckets: int, local: int, size: int, hashes: Hashes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in blocks(batches, size):
             passing = zlib.crc32(block.encode()) % buckets  # what only passes through is spread over the buckets
             data, bounds, ids = _buffer(rows)
-            s, count, _, g, whole = segments(data, bounds, width, gram)
+            s, count, p, g, whole = segments(data, bounds, width, gram, hashes)
             where = np.searchsorted(bounds, s, side="right") - 1
-            order, _, later = _firsts((_low48(g), _low48(whole)), ids[where], s - bounds[where])
+            order, begin, later = _firsts((_low48(g), _low48(whole)), ids[where], s - bounds[where])
+            lead = order[np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))[later]] if len(order) else order
             gone = np.sort(order[later])
             out = [(block, WHOLE, passing, pack(s[gone].astype(np.uint32), count[gone].astype(np.uint8)))] if len(gone) else []
+            if not (np.array_equal(count[order[later]], count[lead]) and equal(data, s[order[later]], s[lead], count[lead] + width - 1)):
+                out.append((block, LIE, passing, b""))
             left = np.sort(order[~later])
             _, place, many = np.unique(g[left], return_inverse=True, return_counts=True)
             hot = many[place] >= local
@@ -261,13 +313,18 @@ def _meet(wide: int):
             size = np.diff(np.append(np.flatnonzero(fresh), len(reps)))
             shared = np.repeat(size, size)
             kinds = np.full(len(s), -1, np.int8)
-            kinds[order[later]] = WHOLE
+            at = np.flatnonzero(later)
+            member, before = order[at], order[at - 1]
+            alike = count[member] == count[before]
+            if not alike.all():
+                out.append((names[0], LIE, 0, b""))
+            out += _claims(names, block, s, count, member[alike], before[alike])
             # rows that repeat a lead's doc and place go the lead's way
             leads, group = order[~later], (np.cumsum(begin) - 1)[~later]
             kinds[leads[shared[group] > 1]] = FETCH
             kinds[leads[((shared > wide) | np.isin(g[reps], np.concatenate(marks)))[group]]] = SPREAD
             for i in np.unique(block):
-                for kind in (WHOLE, FETCH, SPREAD):
+                for kind in (FETCH, SPREAD):
                     pick = np.flatnonzero((block == i) & (kinds == kind))
                     if len(pick):
                         pick = pick[np.argsort(s[pick])]
@@ -298,12 +355,12 @@ def _open(texts: pa.Table, key) -> tuple[np.ndarray, np.ndarray, np.ndarray, byt
     return np.frombuffer(data, np.uint8), bounds, ids, carried
 
 
-def _fetch(width: int, gram: int, buckets: int):
+def _fetch(width: int, gram: int, buckets: int, hashes: Hashes):
     def run(key, text: pa.Table, asked: pa.Table) -> pa.Table:
         if not asked.num_rows:
             return pa.Table.from_batches([_row([], [], [], [])])
         data, bounds, ids, _ = _open(text, key)
-        s, count, p, g, whole = segments(data, bounds, width, gram)
+        s, count, p, g, whole = segments(data, bounds, width, gram, hashes)
         out, block = [], str(key[0])
         for wanted in (FETCH, SPREAD):
             blobs = [unpack(b)[0] for k, b in zip(asked.column("kind").to_pylist(), asked.column("blob").to_pylist()) if k == wanted]
@@ -323,12 +380,17 @@ def _fetch(width: int, gram: int, buckets: int):
                         out.append((block, BYTES, b, pack(*_delta(s[x]), count[x].astype(np.uint8), (p[x] - s[x]).astype(np.uint8), _low6(g[x]), data[ragged(s[x], length)], *_documents(where[rows], ids, bounds))))
             else:
                 at = ragged(s[pick], count[pick])
-                one, two = (_windows(data, at, width, k) for k in (0, 1))
+                one, two = (hashes.kept(_windows(data, at, width, 2 * hashes.seed + k)) for k in (0, 1))
                 doc = np.searchsorted(bounds, at, side="right") - 1
                 order, begin, later = _firsts((one, two), ids[doc], at - bounds[doc])
-                gone = np.sort(at[order[later]])
-                if len(gone):
-                    out.append((block, PARTIAL, 0, pack(*_runs(gone))))
+                if later.any():
+                    lead = at[order[np.maximum.accumulate(np.where(begin, np.arange(len(order)), 0))[later]]]
+                    gone = at[order[later]]
+                    by = np.argsort(gone)
+                    _, x, y, n = _joined_runs(gone[by], lead[by], np.ones(len(by), np.int64))
+                    out.append((block, PARTIAL, 0, pack(*_runs(gone[by]))))
+                    if not equal(data, x, y, n + width - 1):
+                        out.append((block, LIE, 0, b""))
                 left = np.sort(order[~later])
                 to = (one[left] % U(buckets)).astype(np.int64)
                 by = np.argsort(to, kind="stable")
@@ -509,7 +571,7 @@ def _compare(width: int):
     def run(rows: pa.Table) -> pa.Table:
         out, names, parts, wide = [], [], [], []
         for block, kind, blob in zip(rows.column("block").to_pylist(), rows.column("kind").to_pylist(), rows.column("blob").to_pylist()):
-            if kind == PARTIAL:
+            if kind in (PARTIAL, LIE):
                 out.append((block, kind, 0, blob))
             elif kind == BYTES:
                 s, count, off, g, data, *documents = unpack(blob)
@@ -533,7 +595,8 @@ def _compare(width: int):
         if wide:
             at, one, two, doc, pos, block = (np.concatenate(x) for x in zip(*wide))
             order, _, later = _firsts((one, two), doc, pos)
-            found.append((block[order[later]], at[order[later]]))
+            here = np.flatnonzero(later)
+            out += _claims(names, block, at, np.ones(len(at), np.uint8), order[here], order[here - 1])
         if found:
             block, at = (np.concatenate(x) for x in zip(*found))
             order = np.lexsort((at, block))
@@ -547,6 +610,50 @@ def _compare(width: int):
     return run
 
 
+def _prove(width: int):
+    """Claims on a block's windows: their bytes, for the blocks that claim to have the same."""
+
+    def run(key, text: pa.Table, asked: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return pa.Table.from_batches([_row([], [], [], [])])
+        data, *_ = _open(text, key)
+        names: dict[str, int] = {}
+        parts = []
+        for blob in asked.column("blob").to_pylist():
+            own, number, at, lead, count = unpack(blob)
+            parts.append((np.array([names.setdefault(n, len(names)) for n in own], np.int64)[number], at, lead, count))
+        block, at, lead, count = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((at, block))
+        block = block[order]
+        first, at, lead, count = _joined_runs(at[order], lead[order], count[order], block)
+        cuts = np.searchsorted(block[first], np.arange(len(names) + 1))
+        out = []
+        for i, name in enumerate(names):
+            a, b = cuts[i], cuts[i + 1]
+            out.append((name, PROOF, 0, pack(at[a:b].astype(np.uint32), count[a:b].astype(np.uint32), data[ragged(lead[a:b], count[a:b] + width - 1)])))
+        return pa.Table.from_batches([_row(*map(list, zip(*out)))])
+
+    return run
+
+
+def _check(width: int):
+    """Holds the bytes of proofs against a block's own."""
+
+    def run(key, text: pa.Table, proofs: pa.Table) -> pa.Table:
+        if not proofs.num_rows:
+            return pa.Table.from_batches([_row([], [], [], [])])
+        data, *_ = _open(text, key)
+        out, block = [], str(key[0])
+        for blob in proofs.column("blob").to_pylist():
+            at, count, claimed = unpack(blob)
+            at, length = at.astype(np.int64), count.astype(np.int64) + width - 1
+            same = equal(data, at, np.cumsum(length) - length, length, claimed)
+            out.append((block, PARTIAL, 0, pack(at.astype(np.uint32), count)) if same else (block, LIE, 0, b""))
+        return pa.Table.from_batches([_row(*map(list, zip(*out)))])
+
+    return run
+
+
 KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept", T.BinaryType())])
 
 
@@ -581,28 +688,47 @@ def _cut(width: int, schema: pa.Schema, as_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, local: int = LOCAL, keep: tuple[str, ...] = (), as_text: bool = False, block_bytes: int = BLOCK) -> DataFrame:
+def repeats(rows: DataFrame, width: int, gram: int, wide: int, local: int, block_bytes: int, hashes: Hashes) -> DataFrame | None:
+    """The windows to remove of each block of rows (..., doc_id, text), a written table; None if a hash lied."""
+    spark = rows.sparkSession
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, 2 * partitions(spark), -(-size // BUCKET_BYTES))
+    text = rows.mapInArrow(_texts(False, block_bytes), "block string, data binary")
+    met = rows.mapInArrow(_anchors(width, gram, buckets, local, block_bytes, hashes), ROWS).groupBy("bucket").applyInArrow(_meet(wide), ROWS)
+    met = written(met, "suffix-met")
+    fetched = text.groupBy("block").cogroup(met.filter(F.col("kind").isin(FETCH, SPREAD)).groupBy("block")).applyInArrow(_fetch(width, gram, buckets, hashes), ROWS)
+    # what is told off already only passes through; it is dealt out by block
+    through = F.col("kind").isin(PARTIAL, LIE)
+    compared = fetched.withColumn("bucket", F.when(through, F.pmod(F.hash("block"), F.lit(buckets))).otherwise(F.col("bucket"))).groupBy("bucket").applyInArrow(_compare(width), ROWS)
+    compared = written(compared, "suffix-compared")
+    told = met.filter(F.col("kind").isin(WHOLE, CLAIM, LIE)).unionByName(compared)
+    proofs = text.groupBy("block").cogroup(told.filter(F.col("kind") == CLAIM).groupBy("block")).applyInArrow(_prove(width), ROWS)
+    checked = text.groupBy("block").cogroup(proofs.groupBy("block")).applyInArrow(_check(width), ROWS)
+    found = written(checked.unionByName(told.filter(F.col("kind") != CLAIM)), "suffix-found")
+    return None if found.filter(F.col("kind") == LIE).limit(1).count() else found
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, wide: int = WIDE, local: int = LOCAL, keep: tuple[str, ...] = (), as_text: bool = False, block_bytes: int = BLOCK, bits: int = 64) -> DataFrame:
     """``keep`` columns, doc_id, n_bytes, n_removed, n_spans and the kept bytes of each row of docs; others are not read.
 
     as_text: ``kept`` is a string of the whole characters that are left; of a character cut in two nothing stays.
+    bits: of the first attempt's hashes.
 
     docs must give the same rows in the same order each time it is read; otherwise the query fails.
     """
     if not 8 <= gram <= width <= 255:
         raise ValueError("8 <= gram <= width <= 255")
-    spark = prepare(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = docs.select(*keep, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    if {"doc_id", "text", *KEPT.names} & set(keep):
+    if {"doc_id", "text", *KEPT.names} & {c.lower() for c in keep}:
         raise ValueError("keep names a column that is made here")
-    buckets = max(16, 2 * partitions(spark))
     last = T.StructField("kept", T.StringType() if as_text else T.BinaryType())
     schema = T.StructType([*rows.schema.fields[: len(keep)], *KEPT.fields[:-1], last])
-    text = rows.mapInArrow(_texts(False, block_bytes), "block string, data binary")
-    carried = rows.mapInArrow(_texts(True, block_bytes), "block string, data binary") if keep else text
-    met = rows.mapInArrow(_anchors(width, gram, buckets, local, block_bytes), ROWS).groupBy("bucket").applyInArrow(_meet(wide), ROWS)
-    met = written(met, "suffix-met")
-    fetched = text.groupBy("block").cogroup(met.filter(F.col("kind") != WHOLE).groupBy("block")).applyInArrow(_fetch(width, gram, buckets), ROWS)
-    # what is told off already only passes through; it is dealt out by block
-    compared = fetched.withColumn("bucket", F.when(F.col("kind") == PARTIAL, F.pmod(F.hash("block"), F.lit(buckets))).otherwise(F.col("bucket"))).groupBy("bucket").applyInArrow(_compare(width), ROWS)
-    gone = met.filter(F.col("kind") == WHOLE).unionByName(compared)
+    for attempt in range(ATTEMPTS):
+        gone = repeats(rows, width, gram, wide, local, block_bytes, Hashes(attempt, bits if not attempt else 64))
+        if gone is not None:
+            break
+    else:
+        raise RuntimeError(f"hashes lied {ATTEMPTS} times")
+    carried = rows.mapInArrow(_texts(bool(keep), block_bytes), "block string, data binary")
     return carried.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(_cut(width, to_arrow_schema(schema), as_text), schema)
