@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meridian.llm.common import broadcast_bytes, free_name, pack, prepare, unpack
+from meridian.llm.common import broadcast_bytes, free_name, pack, prepare, quoted, unpack
 from meridian.llm.suffix import Prefix, mix
 
 #: Edits allowed for each byte of an item.
@@ -177,9 +177,11 @@ def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, out: str = "leak
         size += len(item)
     if held or not blocks:
         blocks.append(broadcast_bytes(spark, pack(held)))
-    df = docs.drop(out).withColumn(out, F.array().cast("array<struct<item_id:bigint,distance:int>>"))
+    others = [c for c in docs.columns if c != "text" and c.lower() != out.lower()]
+    carried = F.struct(*[F.col(quoted(c)) for c in others]) if others else F.lit(None).cast("int")
+    df = docs.select(carried.alias("others"), F.col("text").cast("string").alias("text"), F.array().cast("array<struct<item_id:bigint,distance:int>>").alias("found"))
     schema = df.schema
-    arrow = to_arrow_schema(schema).field(out).type
+    arrow = to_arrow_schema(schema).field("found").type
 
     def matching(block):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,18 +189,16 @@ def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, out: str = "leak
             for batch in batches:
                 for start in range(0, batch.num_rows, 256):
                     part = batch.slice(start, 256)
-                    at, where = part.schema.get_field_index("text"), part.schema.get_field_index(out)
-                    found = matcher.match([x or "" for x in part.column(at).to_pylist()])
-                    merged = [[*(old or []), *({"item_id": i, "distance": d} for i, d in sorted(new, key=str))] for old, new in zip(part.column(where).to_pylist(), found)]
-                    columns = list(part.columns)
-                    columns[where] = pa.array(merged, arrow)
-                    yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+                    found = matcher.match([x or "" for x in part.column(1).to_pylist()])
+                    merged = [[*(old or []), *({"item_id": i, "distance": d} for i, d in sorted(new, key=str))] for old, new in zip(part.column(2).to_pylist(), found)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(merged, arrow)], names=["others", "text", "found"])
 
         return run
 
     for block in blocks:
         df = df.mapInArrow(matching(block), schema)
-    return df
+    text = F.col("text").cast(docs.schema["text"].dataType)
+    return df.select(*[(text if c == "text" else F.col("others")[c]).alias(c) for c in docs.columns if c.lower() != out.lower()], F.col("found").alias(out))
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
