@@ -27,6 +27,10 @@ from meridian.llm.common import BLOCK_BYTES, blocks, broadcast_bytes, pack, part
 from meridian.llm.pretoken import distinct
 
 
+#: Text bytes for which there is a bucket of words at least.
+BUCKET_BYTES = 256 << 20
+
+
 def read_ranks(data: bytes) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}
 
@@ -84,24 +88,24 @@ def _layout(size: int):
 
 
 def _encoder(ranks_file):
-    def encode(rows: pa.Table) -> pa.Table:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = _encoding(ranks_file.value)
         known: dict[bytes, bytes] = {}  # a word's rows all meet here: each distinct word is encoded once
-        out = []
-        for blob in rows.column("words").to_pylist():
-            idx, lengths, data = unpack(blob)
-            order = np.argsort(idx)
-            ends = np.cumsum(lengths, dtype=np.int64)
-            ids = []
-            for a, b in zip((ends - lengths)[order].tolist(), ends[order].tolist()):
-                word = data[a:b]
-                got = known.get(word)
-                if got is None:
-                    got = known[word] = np.array(made.encode_ordinary(word.decode()), "<u4").tobytes()
-                ids.append(got)
-            counts = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
-            out.append(pack(np.diff(idx[order], prepend=np.uint32(0)), counts, _planes(np.frombuffer(b"".join(ids), "<u4"))))
-        return pa.Table.from_arrays([rows.column("block"), pa.array(out, pa.binary())], names=["block", "ids"])
+        for rows in batches:  # the bucket streams; what is held are its distinct words
+            for block, blob in zip(rows.column("block").to_pylist(), rows.column("words").to_pylist()):
+                idx, lengths, data = unpack(blob)
+                order = np.argsort(idx)
+                ends = np.cumsum(lengths, dtype=np.int64)
+                ids = []
+                for a, b in zip((ends - lengths)[order].tolist(), ends[order].tolist()):
+                    word = data[a:b]
+                    got = known.get(word)
+                    if got is None:
+                        got = known[word] = np.array(made.encode_ordinary(word.decode()), "<u4").tobytes()
+                    ids.append(got)
+                counts = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
+                out = pack(np.diff(idx[order], prepend=np.uint32(0)), counts, _planes(np.frombuffer(b"".join(ids), "<u4")))
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([out], pa.binary())], names=["block", "ids"])
 
     return encode
 
@@ -159,7 +163,9 @@ def encode(docs: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id",)
     with open(ranks_path, "rb") as f:
         ranks = broadcast_bytes(spark, f.read())
     rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
-    words = rows.mapInArrow(_explode(max(16, 2 * partitions(spark)), block_bytes), "block string, bucket int, words binary")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(16, 2 * partitions(spark), -(-size // BUCKET_BYTES))
+    words = rows.mapInArrow(_explode(buckets, block_bytes), "block string, bucket int, words binary")
     back = words.groupBy("bucket").applyInArrow(_encoder(ranks), "block string, ids binary")
     layout = rows.mapInArrow(_layout(block_bytes), "block string, layout binary")
     made = ["ids", *([decoded] if decoded else [])]
