@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from meridian.functions import tables as t
-from meridian.functions.text import digits, filled, lookup, strip, zero_pad
+from meridian.functions.text import digits, filled, let, lookup, strip, zero_pad
 
 _NOTHING = ("NAN", "NONE", "NULL")
 
@@ -22,17 +22,19 @@ def chapter_of(category: Column) -> Column:
 
 
 def concept(system: str, code: Column, display: Column | None = None) -> Column:
-    """A CodeableConcept."""
-    shown = display if display is not None else F.lit(None).cast("string")
+    """A CodeableConcept; without a display the code is shown."""
+    shown = F.coalesce(filled(display), code) if display is not None else code
     coding = F.struct(F.lit(system).alias("system"), code.alias("code"), shown.alias("display"))
-    return F.struct(F.array(coding).alias("coding"), F.coalesce(shown, code).alias("text"))
+    return F.struct(F.array(coding).alias("coding"), shown.alias("text"))
 
 
 def diagnosis(code: Column) -> Column:
     """struct(code, valid, reason, category, subcategory, chapter, chapter_description); null for blank codes."""
-    raw = F.upper(strip(code))
-    bare = F.regexp_replace(raw, "[^A-Z0-9]", "")
-    category, rest = F.substring(bare, 1, 3), F.substring(bare, 4, 100)
+    return let(F.upper(strip(code)), lambda raw: let(F.regexp_replace(raw, "[^A-Z0-9]", ""), lambda bare: let(F.substring(bare, 1, 3), lambda category: _diagnosis(raw, bare, category))))
+
+
+def _diagnosis(raw: Column, bare: Column, category: Column) -> Column:
+    rest = F.substring(bare, 4, 100)
     short, good = F.length(bare) < 3, category.rlike("^[A-Z][0-9]{2}$")
     valid = ~short & good
     chapter = chapter_of(category)
@@ -45,7 +47,7 @@ def diagnosis(code: Column) -> Column:
         F.when(valid, chapter["chapter"]).alias("chapter"),
         F.when(valid, chapter["description"]).alias("chapter_description"),
     )
-    return F.when(code.isNotNull() & (raw != "") & ~raw.isin(*_NOTHING), made)
+    return F.when(raw.isNotNull() & (raw != "") & ~raw.isin(*_NOTHING), made)
 
 
 def procedure(code: Column) -> Column:
@@ -84,7 +86,7 @@ def municipality(code: Column) -> Column:
 
 def diagnosis_label(code: Column, chapter: Column | None = None) -> Column:
     """The code's label, else that of what stands before the point, else the code itself with its chapter."""
-    c = F.coalesce(strip(code), F.lit(""))
+    c = F.upper(F.coalesce(strip(code), F.lit("")))
     bare = F.concat(F.lit("Diagnóstico ["), c, F.lit("]"))
     named = bare if chapter is None else F.when(F.coalesce(chapter, F.lit("")) != "", F.concat(bare, F.lit(" ("), chapter, F.lit(")"))).otherwise(bare)
     return F.coalesce(lookup(c, t.DIAGNOSES), lookup(F.substring_index(c, ".", 1), t.DIAGNOSES), named)

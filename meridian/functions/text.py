@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,8 +30,13 @@ def zero_pad(c: Column, n: int) -> Column:
     return F.when(F.length(c) >= n, c).otherwise(F.lpad(c, n, "0"))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, which is computed once a row: the optimizer would copy it to every place that it stands in."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def lookup(c: Column, table: dict, default: Column | None = None) -> Column:
-    """A small fixed table as one conditional expression: no join and no shuffle."""
+    """A small fixed table as a literal map: no join and no shuffle."""
     if not table:
         return default if default is not None else F.lit(None)
     found = F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), c)

@@ -80,20 +80,20 @@ def map_admissions(df: DataFrame, source_file: str | None = None) -> CanonicalDa
         file.alias("_source_file"),
         _now().alias("_updated_at"),
     )
-    patients = base.select(ORDINAL, "patient_id", "gender", "birth_date_hash", F.col("place.code").alias("municipality_code"), F.col("place.state").alias("state"), F.lit("SIH").alias("_source_system"), "_updated_at")
+    patients = base.select(ORDINAL, "patient_id", "gender", "birth_date_hash", F.col("place.code").alias("municipality_code"), F.col("place.state").alias("state"), F.lit("DATASUS_SIH").alias("_source_system"), "_updated_at")
     encounters = base.select(
         ORDINAL, "encounter_id", "patient_id", "organization_id", "encounter_class", F.lit("finished").alias("status"), "period_start", "period_end", "length_of_stay_days",
         F.col("primary.code").alias("primary_diagnosis_code"), F.col("primary.chapter").alias("primary_diagnosis_chapter"), F.col("procedure.code").alias("primary_procedure_code"),
         "total_cost_brl", "discharge_disposition", "_source_file", "_updated_at",
     )
-    ranked = F.array(*[F.struct(F.lit(r).alias("rank"), F.lit(s).alias("suffix"), F.col(r).alias("found")) for r, s in (("primary", "prim"), ("secondary", "sec"))])
+    ranked = F.array(*[F.struct(F.lit(r).alias("rank"), F.lit(s).alias("suffix"), F.col(r).alias("found")) for r, s in (("primary", "pri"), ("secondary", "sec"))])
     conditions = base.withColumn("c", F.explode(F.filter(ranked, lambda x: x["found"]["code"].isNotNull()))).select(
         ORDINAL, F.concat_ws("_", F.lit("cond"), "encounter_id", "c.suffix").alias("condition_id"), "encounter_id", "patient_id", F.lit(SYSTEM_CID10).alias("code_system"),
         F.col("c.found.code").alias("code"), F.col("c.found.valid").alias("valid"), F.col("c.found.chapter").alias("chapter"), F.col("c.found.chapter_description").alias("chapter_description"),
         F.col("c.rank").alias("diagnosis_rank"), F.col("period_start").alias("recorded_date"), "_updated_at",
     )
     procedures = base.filter("procedure.code is not null").select(
-        ORDINAL, F.concat(F.lit("proc_"), "encounter_id").alias("procedure_id"), "encounter_id", "patient_id", F.lit(SYSTEM_SIGTAP).alias("code_system"), F.col("procedure.code").alias("code"),
+        ORDINAL, F.concat(F.lit("proc_"), "encounter_id", F.lit("_01")).alias("procedure_id"), "encounter_id", "patient_id", F.lit(SYSTEM_SIGTAP).alias("code_system"), F.col("procedure.code").alias("code"),
         F.col("procedure.formatted").alias("formatted_code"), F.col("procedure.group_description").alias("group_description"), F.lit("completed").alias("status"), F.col("period_start").alias("performed_date"), "_updated_at",
     )
     return CanonicalDataset(dim_patients=_first(patients, "patient_id"), fct_encounters=_first(encounters, "encounter_id"), fct_conditions=_first(conditions, "condition_id"), fct_procedures=_first(procedures, "procedure_id"))
@@ -142,7 +142,7 @@ def map_fhir(df: DataFrame, source_file: str | None = None) -> CanonicalDataset:
     city = term.municipality(F.try_element_at(F.col("r.address"), F.lit(1))["city"])
     patients = of("Patient").select(
         ORDINAL, F.concat(F.lit("pat_fhir_"), "id").alias("patient_id"), F.coalesce(F.lower(filled(F.col("gender"))), F.lit("unknown")).alias("gender"), F.when(F.length(birth) == 64, birth).alias("birth_date_hash"),
-        city["code"].alias("municipality_code"), city["state"].alias("state"), F.lit("FHIR").alias("_source_system"), "_updated_at",
+        city["code"].alias("municipality_code"), city["state"].alias("state"), F.lit("FHIR_R4").alias("_source_system"), "_updated_at",
     )
     own = F.try_element_at(F.filter("r.identifier", lambda x: F.contains(F.lower(x["system"]), F.lit("cnes"))), F.lit(-1))["value"]
     organizations = of("Organization").select(
@@ -182,13 +182,13 @@ def map_referrals(df: DataFrame, salt: str, source_file: str | None = None) -> C
     df = with_ordinal(ensure_columns(df, {c: "string" for c in columns}))
     birth = filled(F.col("DT_NASC"))
     hashed = F.when(F.length(birth) == 64, birth).otherwise(salted_hash(birth, salt))
-    patient = F.coalesce(filled(F.col("CPF_PACIENTE")), filled(F.col("CNS_PACIENTE")), F.col("ID_SOLICITACAO"))
+    patient = F.coalesce(filled(F.col("CNS_PACIENTE")), filled(F.col("CPF_PACIENTE")), F.col("ID_SOLICITACAO"))
     place = strip(F.col("CO_MUNICIPIO_IBGE"))
     rows = df.withColumns({"birth_date_hash": hashed, "municipality_code": place}).withColumn("patient_master_id", master_patient_id(patient, F.col("birth_date_hash"), F.col("municipality_code"), salt))
     sex = F.upper(strip(F.col("SEXO")))
     patients = rows.select(
         ORDINAL, F.col("patient_master_id").alias("patient_id"), "patient_master_id", F.when(sex == "M", "male").when(sex == "F", "female").otherwise("unknown").alias("gender"), "birth_date_hash", "municipality_code",
-        term.municipality_label(place).alias("municipality_name"), F.coalesce(term.municipality(place)["state"], F.lit("AC")).alias("state"), F.lit("AC").alias("uf"), F.lit("SISREG").alias("source_type"), F.lit("SISREG").alias("_source_system"), _now().alias("_updated_at"),
+        term.municipality_label(place).alias("municipality_name"), F.coalesce(term.municipality(place)["state"], F.lit("AC")).alias("state"), F.lit("AC").alias("uf"), F.lit("sisreg_regulation").alias("source_type"), F.lit("SISREG").alias("_source_system"), _now().alias("_updated_at"),
     )
     org = lambda c: F.concat(F.lit("org_cnes_"), strip(F.col(c)))
     referrals = rows.select(
@@ -207,7 +207,7 @@ def map_health_plans(df: DataFrame, source_file: str | None = None) -> Canonical
     place = strip(F.col("CD_MUNICIPIO_IBGE"))
     text = lambda c: pick(df, c)
     plans = df.select(
-        F.concat_ws("_", F.lit("plan"), strip(F.col("CD_OPERADORA")), place).alias("plan_id"), strip(F.col("CD_OPERADORA")).alias("ans_operator_code"), text("RAZAO_SOCIAL").alias("operator_name"), text("MODALIDADE_OPERADORA").alias("modality"),
+        F.concat_ws("_", F.lit("ans_plan"), strip(F.col("CD_OPERADORA")), place).alias("plan_id"), strip(F.col("CD_OPERADORA")).alias("ans_operator_code"), text("RAZAO_SOCIAL").alias("operator_name"), text("MODALIDADE_OPERADORA").alias("modality"),
         place.alias("municipality_code"), term.municipality_label(place).alias("municipality_name"), text("SG_UF").alias("state"), text("COMPETENCIA").alias("competence"),
         whole_number(text("NR_BENEFICIARIOS_ATIVOS")).alias("active_beneficiaries"), whole_number(text("NR_BENEFICIARIOS_IDOSOS")).alias("elderly_beneficiaries"),
         decimal_number(text("DESPESA_ASSISTENCIAL_TOTAL")).alias("total_private_expenditure_brl"), decimal_number(text("SINISTRALIDADE_PCT")).alias("loss_ratio_pct"),

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import json
 
 import pytest
@@ -88,10 +89,11 @@ def test_admissions(spark):
     assert (e["enc_sih_3"].length_of_stay_days, e["enc_sih_3"].organization_id, e["enc_sih_3"].period_start) == (None, "org_cnes_0000007", None)
     assert e["enc_sih_2"].primary_diagnosis_code == "I21.9" and e["enc_sih_2"].primary_procedure_code == "0303060034"
     c = {r.condition_id: r for r in ds.fct_conditions.collect()}
-    assert set(c) == {"cond_enc_sih_1_prim", "cond_enc_sih_1_sec", "cond_enc_sih_2_prim", "cond_enc_sih_3_sec"}
+    assert set(c) == {"cond_enc_sih_1_pri", "cond_enc_sih_1_sec", "cond_enc_sih_2_pri", "cond_enc_sih_3_sec"}
     assert c["cond_enc_sih_1_sec"].valid is False and c["cond_enc_sih_1_sec"].chapter is None
-    assert ds.fct_procedures.count() == 2
+    assert {r.procedure_id for r in ds.fct_procedures.collect()} == {"proc_enc_sih_1_01", "proc_enc_sih_2_01"}
     p = {r.patient_id: r for r in ds.dim_patients.collect()}
+    assert {r._source_system for r in p.values()} == {"DATASUS_SIH"}
     assert len(p) == 2 and p["pat_cpf"].gender == "unknown" and p["pat_cpf"].birth_date_hash is None
 
 
@@ -125,6 +127,7 @@ def test_fhir(spark):
     ]
     ds = mapping.map_fhir(spark.createDataFrame(rows, "resourceType string, id string, gender string, birthDate string, raw_json string"), "f")
     assert ds.dim_patients.first().patient_id == "pat_fhir_p1" and ds.dim_patients.first().municipality_code == "120040"
+    assert ds.dim_patients.first()._source_system == "FHIR_R4"
     assert ds.dim_organizations.first().cnes_code == "2001578"
     e = ds.fct_encounters.first()
     assert (e.patient_id, e.organization_id, e.period_start, e.period_end, e.encounter_class) == ("pat_fhir_p1", "org_fhir_org1", "2025-01-02", None, "AMB")
@@ -139,9 +142,14 @@ def test_referrals_and_plans(spark):
     assert r["ref_SOL-2025-00101"].wait_time_days == 2.24 and r["ref_SOL-2025-00101"].request_hospital_name == "Hospital Regional do Juruá (Cruzeiro do Sul)"
     assert (r["ref_SOL-2025-00104"].wait_time_days, r["ref_SOL-2025-00104"].is_authorized, r["ref_SOL-2025-00104"].authorized_at) == (0.0, False, None)
     assert {x.patient_master_id for x in ds.dim_patients.collect()} == {x.patient_master_id for x in r.values()}
+    assert {x.source_type for x in ds.dim_patients.collect()} == {"sisreg_regulation"}
+    both = spark.createDataFrame([("1", "cns", "cpf")], "ID_SOLICITACAO string, CNS_PACIENTE string, CPF_PACIENTE string")
+    of = lambda x: "mpi_" + hashlib.sha256(f"{x}_salt".encode()).hexdigest()[:16]
+    assert mapping.map_referrals(both, "salt").fct_referrals.first().patient_master_id == of("cns")
+    assert mapping.map_referrals(both.drop("CNS_PACIENTE"), "salt").fct_referrals.first().patient_master_id == of("cpf")
     plans, _ = SilverPipeline(spark, "salt").transform_dataframe(readers.sample_plans(spark), "ans_data")
     p = {x.plan_id: x for x in plans.dim_health_plans.collect()}
-    assert p["plan_345678_120040"].private_coverage_ratio_pct == 11.56 and len(p) == 5
+    assert p["ans_plan_345678_120040"].private_coverage_ratio_pct == 11.56 and len(p) == 5
     with pytest.raises(ValueError):
         mapping.mapper_for("datasus_sia", "s")
 
