@@ -10,23 +10,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions import terminology as term
-from meridian.functions.text import differs, share
-from meridian.operators.relational import keep_first, shares, value_counts
+from meridian.functions.text import decimal_number, differs, share
+from meridian.operators.relational import keep_first, medians, shares, total, value_counts
 
 
 def expired() -> Column:
-    return F.col("discharge_disposition") == "expired"
+    """A missing disposition is none."""
+    return F.coalesce(F.col("discharge_disposition") == "expired", F.lit(False))
+
+
 #: Conditions that primary care can keep out of hospital: fixed values.
 AVOIDABLE = ("I10", "I11", "I15", "E10", "E11", "E14", "J45")
 
 
 def _rate(flag: Column) -> Column:
-    return F.avg(flag.cast("int")) * 100
+    return share(F.count_if(flag), F.count("*"))
+
+
+def _mean(c: str) -> Column:
+    return F.try_divide(total(c), F.count(c))
 
 
 def global_kpis(encounters: DataFrame) -> DataFrame:
-    e = encounters
-    return e.agg(F.count("*").alias("admissions"), F.sum("total_cost_brl").alias("total_cost"), F.avg("total_cost_brl").alias("mean_cost"), F.median("total_cost_brl").alias("median_cost"), F.avg("length_of_stay_days").alias("mean_days"), F.median("length_of_stay_days").alias("median_days"), F.count_if(expired()).alias("deaths"), _rate(expired()).alias("mortality_pct"))
+    cost, days = "total_cost_brl", "length_of_stay_days"
+    sums = encounters.agg(F.count("*").alias("admissions"), total(cost).alias("total_cost"), _mean(cost).alias("mean_cost"), F.avg(days).alias("mean_days"), F.count_if(expired()).alias("deaths"), _rate(expired()).alias("mortality_pct"))
+    middle = medians(encounters, [cost, days]).select(F.col(cost).alias("median_cost"), F.col(days).alias("median_days"))
+    return sums.crossJoin(middle)  # single rows
 
 
 def class_share(encounters: DataFrame) -> DataFrame:
@@ -38,19 +47,21 @@ def top_chapters(encounters: DataFrame, k: int = 10) -> DataFrame:
 
 
 def lethal_diagnoses(encounters: DataFrame, least: int = 10, k: int = 10) -> DataFrame:
-    e = encounters.filter("primary_diagnosis_code is not null").groupBy("primary_diagnosis_code").agg(F.count("*").alias("cases"), F.count_if(expired()).alias("deaths"), _rate(expired()).alias("lethality_pct"))
-    top = e.filter(F.col("cases") >= least).orderBy(F.desc("lethality_pct"), F.desc("cases"), "primary_diagnosis_code").limit(k)
+    e = encounters.filter("primary_diagnosis_code is not null and primary_diagnosis_chapter is not null").groupBy("primary_diagnosis_code", "primary_diagnosis_chapter")
+    e = e.agg(F.count("*").alias("cases"), F.count_if(expired()).alias("deaths"), _mean("total_cost_brl").alias("mean_cost"), F.avg("length_of_stay_days").alias("mean_days"), _rate(expired()).alias("lethality_pct"))
+    top = e.filter(F.col("cases") >= least).orderBy(F.desc("lethality_pct"), F.desc("cases"), "primary_diagnosis_code", "primary_diagnosis_chapter").limit(k)
     return top.withColumn("label", term.diagnosis_label(F.col("primary_diagnosis_code")))
 
 
 def costly_diagnoses(encounters: DataFrame, k: int = 10) -> DataFrame:
     e = encounters.filter("primary_diagnosis_code is not null").groupBy("primary_diagnosis_code")
-    out = e.agg(F.sum("total_cost_brl").alias("total_cost"), F.count("*").alias("cases"), F.avg("total_cost_brl").alias("mean_cost"), F.min_by("primary_diagnosis_chapter", F.struct("period_start", "encounter_id")).alias("chapter"))
+    chapter = F.min_by("primary_diagnosis_chapter", F.when(F.col("primary_diagnosis_chapter").isNotNull(), F.struct("period_start", "encounter_id")))
+    out = e.agg(total("total_cost_brl").alias("total_cost"), F.count("*").alias("cases"), _mean("total_cost_brl").alias("mean_cost"), chapter.alias("chapter"))
     return out.orderBy(F.desc("total_cost"), "primary_diagnosis_code").limit(k)
 
 
 def hospital_concentration(encounters: DataFrame, k: int = 10) -> DataFrame:
-    out = encounters.filter("organization_id is not null").groupBy("organization_id").agg(F.count("*").alias("admissions"), F.sum("total_cost_brl").alias("total_cost"), F.count_if(expired()).alias("deaths"))
+    out = encounters.filter("organization_id is not null").groupBy("organization_id").agg(F.count("*").alias("admissions"), total("total_cost_brl").alias("total_cost"), F.count_if(expired()).alias("deaths"), F.avg("length_of_stay_days").alias("mean_days"))
     out = out.withColumn("mortality_pct", share(F.col("deaths"), F.col("admissions"))).orderBy(F.desc("admissions"), "organization_id").limit(k)
     return out.withColumn("hospital", term.hospital_label(F.col("organization_id")))
 
@@ -73,7 +84,7 @@ def demography(encounters: DataFrame, patients: DataFrame) -> tuple[DataFrame, D
 
 def readmissions(encounters: DataFrame) -> DataFrame:
     per = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(F.count("*").alias("n"))
-    return per.agg(F.count("*").alias("patients"), F.count_if(F.col("n") > 1).alias("readmitted"), (F.avg((F.col("n") > 1).cast("int")) * 100).alias("readmitted_pct"), F.max("n").alias("most"))
+    return per.agg(F.count("*").alias("patients"), F.count_if(F.col("n") > 1).alias("readmitted"), _rate(F.col("n") > 1).alias("readmitted_pct"), F.max("n").alias("most"))
 
 
 def journeys(encounters: DataFrame) -> DataFrame:
@@ -84,12 +95,16 @@ def journeys(encounters: DataFrame) -> DataFrame:
 
 def super_user(encounters: DataFrame) -> DataFrame:
     """The journey of the patient who cost the most."""
-    top = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(F.sum("total_cost_brl").alias("patient_total")).orderBy(F.desc("patient_total"), "patient_master_id").limit(1)
+    top = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(total("total_cost_brl").alias("patient_total")).orderBy(F.desc("patient_total"), "patient_master_id").limit(1)
     return journeys(encounters.join(F.broadcast(top), "patient_master_id"))
 
 
 def multi_hospital(encounters: DataFrame) -> DataFrame:
-    out = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(F.count("*").alias("encounters"), F.countDistinct("organization_id").alias("hospitals"), F.array_sort(F.collect_set("organization_id")).alias("hospital_list"))
+    """Patients of several hospitals; the hospitals stand in the order in which they were first seen."""
+    seen = F.array_sort(F.collect_list(F.struct("period_start", "encounter_id", "organization_id")))
+    out = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(F.count("*").alias("encounters"), seen.alias("seen"))
+    hospitals = F.array_compact(F.array_distinct(F.transform("seen", lambda x: x["organization_id"])))
+    out = out.select("patient_master_id", "encounters", hospitals.alias("hospital_list")).withColumn("hospitals", F.size("hospital_list").cast("long"))
     return out.filter("hospitals > 1").orderBy(F.desc("hospitals"), F.desc("encounters"), "patient_master_id")
 
 
@@ -117,9 +132,9 @@ def alive_then_expired(encounters: DataFrame, k: int | None = 1) -> DataFrame:
 
 def care_pyramid(primary: DataFrame, ambulatory: DataFrame, encounters: DataFrame) -> DataFrame:
     """Volumes and spending of the three levels; the crossed sides are single rows."""
-    a = primary.agg(F.sum(F.col("QT_ATENDIMENTOS").cast("double")).alias("primary_visits"))
-    b = ambulatory.agg(F.sum(F.col("PA_QTDPRO").cast("double")).alias("ambulatory_procedures"), F.sum(F.col("PA_VALPRO").cast("double")).alias("ambulatory_cost"))
-    c = encounters.agg(F.count("*").alias("admissions"), F.sum("total_cost_brl").alias("hospital_cost"))
+    a = primary.agg(total(decimal_number(F.col("QT_ATENDIMENTOS"))).alias("primary_visits"))
+    b = ambulatory.agg(total(decimal_number(F.col("PA_QTDPRO"))).alias("ambulatory_procedures"), total(decimal_number(F.col("PA_VALPRO"))).alias("ambulatory_cost"))
+    c = encounters.agg(F.count("*").alias("admissions"), total("total_cost_brl").alias("hospital_cost"))
     out = a.crossJoin(b).crossJoin(c)
     return out.withColumns({"visits_per_admission": F.col("primary_visits") / F.greatest(F.lit(1), "admissions"), "ambulatory_cost_pct": share(F.col("ambulatory_cost"), F.col("ambulatory_cost") + F.col("hospital_cost"))})
 
@@ -134,7 +149,7 @@ def occupancy(encounters: DataFrame, organizations: DataFrame, days_in_period: i
 def dengue_funnel(notifications: DataFrame, ambulatory: DataFrame, encounters: DataFrame) -> DataFrame:
     a = notifications.agg(F.count("*").alias("notified"))
     code = F.col("PA_PROC_ID")
-    b = ambulatory.agg(F.coalesce(F.sum(F.when(code.startswith("0201") | code.startswith("0202"), F.col("PA_QTDPRO").cast("double"))), F.lit(0.0)).alias("exams"))
+    b = ambulatory.agg(F.coalesce(total(F.when(code.startswith("0201") | code.startswith("0202"), decimal_number(F.col("PA_QTDPRO")))), F.lit(0.0)).alias("exams"))
     dx = F.col("primary_diagnosis_code")
     c = encounters.agg(F.count_if(dx.startswith("A90") | dx.startswith("A91")).alias("admitted"))
     return a.crossJoin(b).crossJoin(c).withColumn("admitted_pct", F.col("admitted") * 100.0 / F.greatest(F.lit(1), "notified"))
@@ -142,7 +157,7 @@ def dengue_funnel(notifications: DataFrame, ambulatory: DataFrame, encounters: D
 
 def avoidable(encounters: DataFrame, codes: tuple[str, ...] = AVOIDABLE) -> DataFrame:
     hit = F.coalesce(F.substring("primary_diagnosis_code", 1, 3).isin(*codes), F.lit(False))
-    return encounters.agg(F.count_if(hit).alias("avoidable"), _rate(hit).alias("avoidable_pct"), F.sum(F.when(hit, F.col("total_cost_brl")).otherwise(0.0)).alias("avoidable_cost"))
+    return encounters.agg(F.count_if(hit).alias("avoidable"), _rate(hit).alias("avoidable_pct"), total(F.when(hit, F.col("total_cost_brl")).otherwise(0.0)).alias("avoidable_cost"))
 
 
 def migration(encounters: DataFrame, patients: DataFrame, organizations: DataFrame) -> DataFrame:
@@ -157,11 +172,17 @@ def migration_rate(moved: DataFrame) -> DataFrame:
 
 
 def migration_routes(moved: DataFrame, k: int = 8) -> DataFrame:
-    return moved.filter("travelled and home_place is not null and hospital_place is not null").groupBy("home_place", "hospital_place").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "home_place", "hospital_place").limit(k)
+    return migration_flows(moved).orderBy(F.desc("n"), "home_place", "hospital_place").limit(k)
 
 
 def migration_matrix(moved: DataFrame, places: list[str]) -> DataFrame:
-    return moved.filter("home_place is not null").groupBy("home_place").pivot("hospital_place", places).count().na.fill(0)
+    """Travellers by home and by hospital, where both are known: a column for each of the places, which pivot needs to know."""
+    return moved.filter("travelled and home_place is not null and hospital_place is not null").groupBy("home_place").pivot("hospital_place", places).count().na.fill(0)
+
+
+def migration_flows(moved: DataFrame) -> DataFrame:
+    """The same as rows, for any number of places."""
+    return moved.filter("travelled and home_place is not null and hospital_place is not null").groupBy("home_place", "hospital_place").agg(F.count("*").alias("n"))
 
 
 def birth_modes(encounters: DataFrame) -> DataFrame:
@@ -172,8 +193,8 @@ def birth_modes(encounters: DataFrame) -> DataFrame:
 
 def long_stays(encounters: DataFrame, days: int = 15) -> DataFrame:
     long = F.coalesce(F.col("length_of_stay_days") > days, F.lit(False))
-    cost = F.sum(F.when(long, F.col("total_cost_brl")).otherwise(0.0))
-    return encounters.agg(F.count_if(long).alias("long_stays"), _rate(long).alias("long_pct"), cost.alias("long_cost"), share(cost, F.sum("total_cost_brl")).alias("long_cost_pct"))
+    cost = total(F.when(long, F.col("total_cost_brl")).otherwise(0.0))
+    return encounters.agg(F.count_if(long).alias("long_stays"), _rate(long).alias("long_pct"), cost.alias("long_cost"), share(cost, total("total_cost_brl")).alias("long_cost_pct"))
 
 
 def top_ambulatory(ambulatory: DataFrame, k: int = 10) -> DataFrame:
@@ -188,7 +209,7 @@ def age_bands(rows: DataFrame, age: str = "IDADE") -> DataFrame:
         inside = (a > low) & (a <= high)
         band, order = F.when(inside, f"({low}, {high}]").otherwise(band), F.when(inside, i).otherwise(order)
     out = rows.withColumns({"band": band, "band_order": order}).filter("band is not null").groupBy("band", "band_order")
-    return out.agg(F.count("*").alias("n"), F.avg("total_cost_brl").alias("mean_cost"), _rate(expired()).alias("mortality_pct")).orderBy("band_order")
+    return out.agg(F.count("*").alias("n"), _mean("total_cost_brl").alias("mean_cost"), _rate(expired()).alias("mortality_pct")).orderBy("band_order")
 
 
 def complications(encounters: DataFrame, prefix: str = "T88") -> DataFrame:

@@ -1,271 +1,321 @@
 """The registered queries: every operator of the engine over the star-schema test tables, with the SQL that must agree.
 
 customer stands for patients, orders for encounters (status F: expired, totalprice: cost, priority: class), lineitem for
-procedure lines, supplier for facilities, part for codes, nation and region for places. Money is summed as decimal, so
-that sums do not hang on the order of rows.
+stays and procedure lines, supplier for facilities, part for codes, nation for places. Each report query shapes these
+into canonical columns and calls the report; each mapper query shapes them into a source's columns and calls the mapper.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions import tables, terminology
-from meridian.functions.text import differs, digits, is_hash, lookup, salted_hash, share, zero_pad
+from meridian.functions.text import digits, is_hash, lookup, salted_hash, zero_pad
 from meridian.operators.identity import master_patient_id
 from meridian.operators.relational import keep_first
-from meridian.streaming.landing import windowed_counts
+from meridian.plans import analytics
+from meridian.plans.registry import MONEY, ORACLES, QUERIES, long, nth, query, quoted, sql_case, sql_nth
+from meridian.streaming.landing import sessions, windowed_counts
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
 SALT = "bench-salt"
 
 
-def query(sql: str):
-    def add(f: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        names = f.__code__.co_varnames[: f.__code__.co_argcount]
+def expired() -> Column:
+    return F.col("o_orderstatus") == "F"
 
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return f(*[spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names])
 
-        QUERIES[f.__name__], ORACLES[f.__name__] = run, sql
-        return f
+#: Diagnoses of made-up encounters: known ones, births, complications, unknown ones and none.
+_CODES = [*list(tables.DIAGNOSES)[:16], "O80.0", "O82.1", "O84.9", "T88.7", "T88.8", "I10", "J45.9", "A90", "A91", "Z99.1", None]
+_CASES = " ".join(f"WHEN c BETWEEN '{a}' AND '{b}' THEN '{name}'" for name, (a, b, _) in tables.CHAPTERS.items())
 
-    return add
 
+def _encounter_columns(number: Column) -> list[Column]:
+    code = nth(_CODES, number)
+    return [code.alias("primary_diagnosis_code"), terminology.chapter_of(F.substring(code, 1, 3))["chapter"].alias("chapter")]
 
-def money(c: str | Column) -> Column:
-    """An exact sum of prices, as a double."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast("decimal(18,2)")).cast("double")
 
+def _coded(rows: DataFrame) -> DataFrame:
+    """The chapter of a code, null without one."""
+    return rows.withColumn("primary_diagnosis_chapter", F.when(F.col("primary_diagnosis_code").isNotNull(), F.col("chapter"))).drop("chapter")
 
-def long(c: Column) -> Column:
-    return c.cast("long")
 
+def _disposition() -> Column:
+    return lookup(F.col("o_orderstatus"), {"F": "expired", "O": "discharged_alive"})
 
 
-def expired() -> Column:
-    return F.col("o_orderstatus") == "F"
-_MONEY = "CAST(sum(CAST({} AS DECIMAL(18,2))) AS DOUBLE)"
-_PRICE = _MONEY.format("o_totalprice")
-_LINE = _MONEY.format("l_extendedprice")
+def _encounters(orders: DataFrame) -> DataFrame:
+    """Orders as encounters: hospital, code and days follow from the key; status P has no disposition yet."""
+    k = F.col("o_orderkey")
+    rows = orders.select(
+        k.cast("string").alias("encounter_id"), F.col("o_custkey").cast("string").alias("patient_id"), F.col("o_custkey").cast("string").alias("patient_master_id"),
+        F.concat(F.lit("org_cnes_"), (k % 40).cast("string")).alias("organization_id"), F.col("o_orderpriority").alias("encounter_class"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("period_start"),
+        F.when(k % 19 != 0, k % 37).cast("int").alias("length_of_stay_days"), F.col("o_totalprice").alias("total_cost_brl"), _disposition().alias("discharge_disposition"), *_encounter_columns(k),
+    )
+    return _coded(rows)
+
+
+_E = f"""(SELECT *, CASE WHEN primary_diagnosis_code IS NOT NULL THEN CASE {_CASES} ELSE 'UNKNOWN' END END AS primary_diagnosis_chapter FROM (SELECT *, substr(primary_diagnosis_code, 1, 3) AS c FROM
+ (SELECT o_orderkey::VARCHAR AS encounter_id, o_custkey::VARCHAR AS patient_id, o_custkey::VARCHAR AS patient_master_id, 'org_cnes_' || (o_orderkey % 40) AS organization_id, o_orderpriority AS encounter_class,
+ strftime(o_orderdate, '%Y-%m-%d') AS period_start, CASE WHEN o_orderkey % 19 <> 0 THEN CAST(o_orderkey % 37 AS INTEGER) END AS length_of_stay_days, o_totalprice AS total_cost_brl,
+ CASE o_orderstatus WHEN 'F' THEN 'expired' WHEN 'O' THEN 'discharged_alive' END AS discharge_disposition, {sql_nth(_CODES, "o_orderkey")} AS primary_diagnosis_code FROM orders)))"""
+
+
+def _stays(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines as hospital stays: supplier as hospital, days from order to shipping."""
+    rows = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("encounter_id"), F.col("o_custkey").cast("string").alias("patient_master_id"), F.concat(F.lit("org_cnes_"), F.col("l_suppkey").cast("string")).alias("organization_id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("period_start"), F.date_diff("l_shipdate", "o_orderdate").alias("length_of_stay_days"), F.col("l_extendedprice").alias("total_cost_brl"), _disposition().alias("discharge_disposition"), *_encounter_columns(F.col("l_partkey")),
+    )
+    return _coded(rows)
+
+
+_S = f"""(SELECT *, CASE WHEN primary_diagnosis_code IS NOT NULL THEN CASE {_CASES} ELSE 'UNKNOWN' END END AS primary_diagnosis_chapter FROM (SELECT *, substr(primary_diagnosis_code, 1, 3) AS c FROM
+ (SELECT l_orderkey || '-' || l_linenumber AS encounter_id, o_custkey::VARCHAR AS patient_master_id, 'org_cnes_' || l_suppkey AS organization_id, strftime(o_orderdate, '%Y-%m-%d') AS period_start,
+ date_diff('day', o_orderdate, l_shipdate) AS length_of_stay_days, l_extendedprice AS total_cost_brl, CASE o_orderstatus WHEN 'F' THEN 'expired' WHEN 'O' THEN 'discharged_alive' END AS discharge_disposition,
+ {sql_nth(_CODES, "l_partkey")} AS primary_diagnosis_code FROM lineitem JOIN orders ON l_orderkey = o_orderkey)))"""
+
+#: Places of made-up patients and hospitals: nation n lies in 120000 + n.
+_PLACES = [str(120000 + n) for n in range(25)]
+
+
+def _persons(customer: DataFrame) -> DataFrame:
+    c = F.col("c_custkey")
+    return customer.select(c.cast("string").alias("patient_id"), c.cast("string").alias("patient_master_id"), nth(["male", "female", None, "unknown"], c).alias("gender"), F.when(c % 9 != 0, (F.col("c_nationkey") + 120000).cast("string")).alias("municipality_code"))
+
+
+_P = f"(SELECT c_custkey::VARCHAR AS patient_master_id, {sql_nth(['male', 'female', None, 'unknown'], 'c_custkey')} AS gender, CASE WHEN c_custkey % 9 <> 0 THEN (c_nationkey + 120000)::VARCHAR END AS municipality_code FROM customer)"
 
 
-@query(f"""SELECT count(*) AS admissions, {_PRICE} AS total_cost, {_PRICE} / count(*) AS mean_cost, median(o_totalprice) AS median_cost,
- CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS deaths, CAST(count_if(o_orderstatus = 'F') AS BIGINT) * 100.0::DOUBLE / count(*) AS mortality_pct FROM orders""")
+def _hospitals(supplier: DataFrame) -> DataFrame:
+    k = F.col("s_suppkey")
+    return supplier.select(F.concat(F.lit("org_cnes_"), k.cast("string")).alias("organization_id"), F.when(F.col("s_nationkey") != 7, (F.col("s_nationkey") + 120000).cast("string")).alias("municipality_code"), F.when(k % 6 != 0, k % 90 + 10).cast("int").alias("bed_capacity"))
+
+
+_H = "(SELECT 'org_cnes_' || s_suppkey AS organization_id, CASE WHEN s_nationkey <> 7 THEN (s_nationkey + 120000)::VARCHAR END AS municipality_code, CASE WHEN s_suppkey % 6 <> 0 THEN CAST(s_suppkey % 90 + 10 AS INTEGER) END AS bed_capacity FROM supplier)"
+_DEATHS = "CAST(count_if(coalesce(discharge_disposition = 'expired', false)) AS BIGINT)"
+_COST = MONEY.format("total_cost_brl")
+_DX_LABEL = "coalesce(" + sql_case("primary_diagnosis_code", tables.DIAGNOSES) + ", " + sql_case("split_part(primary_diagnosis_code, '.', 1)", tables.DIAGNOSES) + ", 'Diagnóstico [' || primary_diagnosis_code || ']')"
+_HOSPITAL_LABEL = "coalesce(" + sql_case("replace(organization_id, 'org_cnes_', '')", tables.HOSPITALS) + ", 'Hospital CNES [' || replace(organization_id, 'org_cnes_', '') || ']')"
+
+
+@query(f"""SELECT count(*) AS admissions, {_COST} AS total_cost, {_COST} / count(total_cost_brl) AS mean_cost, median(total_cost_brl) AS median_cost, avg(length_of_stay_days) AS mean_days,
+ CAST(median(length_of_stay_days) AS DOUBLE) AS median_days, {_DEATHS} AS deaths, {_DEATHS} * 100.0::DOUBLE / count(*) AS mortality_pct FROM {_E}""")
 def global_kpis(orders):
-    return orders.agg(F.count("*").alias("admissions"), money("o_totalprice").alias("total_cost"), (money("o_totalprice") / F.count("*")).alias("mean_cost"), F.median("o_totalprice").alias("median_cost"), F.count_if(expired()).alias("deaths"), (F.count_if(expired()) * F.lit(100.0) / F.count("*")).alias("mortality_pct"))
+    return analytics.global_kpis(_encounters(orders))
 
 
-@query("SELECT o_orderpriority, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS pct FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1")
+@query(f"SELECT encounter_class, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS pct FROM {_E} WHERE encounter_class IS NOT NULL GROUP BY 1")
 def class_share(orders):
-    counts = orders.filter("o_orderpriority is not null").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy()))
+    return analytics.class_share(_encounters(orders))
 
 
-@query("SELECT p_type, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY n DESC, p_type LIMIT 10")
-def top_codes(lineitem, part):
-    return lineitem.join(part, lineitem.l_partkey == part.p_partkey).groupBy("p_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "p_type").limit(10)
+@query(f"SELECT primary_diagnosis_chapter, count(*) AS n FROM {_S} WHERE primary_diagnosis_chapter IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10")
+def top_codes(lineitem, orders):
+    return analytics.top_chapters(_stays(lineitem, orders))
 
 
-@query("""SELECT p_type, p_brand, count(*) AS cases, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS deaths, CAST(count_if(o_orderstatus = 'F') AS BIGINT) * 100.0::DOUBLE / count(*) AS lethality_pct
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2 HAVING count(*) >= 10
- ORDER BY lethality_pct DESC, cases DESC, p_type, p_brand LIMIT 10""")
-def lethal_codes(lineitem, orders, part):
-    lines = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).join(part, lineitem.l_partkey == part.p_partkey)
-    out = lines.groupBy("p_type", "p_brand").agg(F.count("*").alias("cases"), F.count_if(expired()).alias("deaths"))
-    out = out.filter("cases >= 10").withColumn("lethality_pct", F.col("deaths") * F.lit(100.0) / F.col("cases"))
-    return out.orderBy(F.desc("lethality_pct"), F.desc("cases"), "p_type", "p_brand").limit(10)
+@query(f"""SELECT *, {_DX_LABEL} AS label FROM (SELECT primary_diagnosis_code, primary_diagnosis_chapter, count(*) AS cases, {_DEATHS} AS deaths, {_COST} / count(total_cost_brl) AS mean_cost, avg(length_of_stay_days) AS mean_days,
+ {_DEATHS} * 100.0::DOUBLE / count(*) AS lethality_pct FROM {_S} WHERE primary_diagnosis_code IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 10 ORDER BY lethality_pct DESC, cases DESC, 1, 2 LIMIT 10)""")
+def lethal_codes(lineitem, orders):
+    return analytics.lethal_diagnoses(_stays(lineitem, orders))
 
 
-@query(f"""SELECT p_type, {_LINE} AS total_cost, count(*) AS cases, arg_min(p_brand, (p_partkey, l_orderkey, l_linenumber)) AS first_brand
- FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1 ORDER BY total_cost DESC, p_type LIMIT 10""")
-def cost_codes(lineitem, part):
-    lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-    first = F.min_by("p_brand", F.struct("p_partkey", "l_orderkey", "l_linenumber"))
-    return lines.groupBy("p_type").agg(money("l_extendedprice").alias("total_cost"), F.count("*").alias("cases"), first.alias("first_brand")).orderBy(F.desc("total_cost"), "p_type").limit(10)
+@query(f"""SELECT primary_diagnosis_code, {_COST} AS total_cost, count(*) AS cases, {_COST} / count(total_cost_brl) AS mean_cost, min(primary_diagnosis_chapter) AS chapter
+ FROM {_S} WHERE primary_diagnosis_code IS NOT NULL GROUP BY 1 ORDER BY total_cost DESC, 1 LIMIT 10""")
+def cost_codes(lineitem, orders):
+    return analytics.costly_diagnoses(_stays(lineitem, orders))
 
 
-@query(f"""SELECT l_suppkey, s_name, admissions, total_cost, deaths, deaths * 100.0::DOUBLE / admissions AS mortality_pct FROM
- (SELECT l_suppkey, count(*) AS admissions, {_LINE} AS total_cost, CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS deaths
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) JOIN supplier ON l_suppkey = s_suppkey ORDER BY admissions DESC, l_suppkey LIMIT 10""")
-def org_concentration(lineitem, orders, supplier):
-    per = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).groupBy("l_suppkey").agg(F.count("*").alias("admissions"), money("l_extendedprice").alias("total_cost"), F.count_if(expired()).alias("deaths"))
-    named = per.join(supplier, per.l_suppkey == supplier.s_suppkey)
-    out = named.select("l_suppkey", "s_name", "admissions", "total_cost", "deaths", share(F.col("deaths"), F.col("admissions")).alias("mortality_pct"))
-    return out.orderBy(F.desc("admissions"), "l_suppkey").limit(10)
+@query(f"""SELECT *, {_HOSPITAL_LABEL} AS hospital FROM (SELECT organization_id, count(*) AS admissions, {_COST} AS total_cost, {_DEATHS} AS deaths, avg(length_of_stay_days) AS mean_days, {_DEATHS} * 100.0::DOUBLE / count(*) AS mortality_pct
+ FROM {_S} GROUP BY 1 ORDER BY admissions DESC, organization_id LIMIT 10)""")
+def org_concentration(lineitem, orders):
+    return analytics.hospital_concentration(_stays(lineitem, orders))
 
 
-@query("""SELECT r_name, n_name, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS pct FROM orders LEFT JOIN customer ON o_custkey = c_custkey
- LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey WHERE n_name IS NOT NULL GROUP BY 1, 2""")
-def demography(orders, customer, nation, region):
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(nation, F.col("c_nationkey") == nation.n_nationkey, "left").join(region, F.col("n_regionkey") == region.r_regionkey, "left")
-    counts = joined.filter("n_name is not null").groupBy("r_name", "n_name").agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy()))
+@query(f"SELECT gender, count(*) AS n, count(*) * 100.0::DOUBLE / sum(count(*)) OVER () AS pct FROM {_E} LEFT JOIN {_P} USING (patient_master_id) WHERE gender IS NOT NULL GROUP BY 1")
+def demography(orders, customer):
+    return analytics.demography(_encounters(orders), _persons(customer))[0]
 
 
-@query("""SELECT count(*) AS patients, CAST(count_if(n > 1) AS BIGINT) AS readmitted, CAST(count_if(n > 1) AS BIGINT) * 100.0::DOUBLE / count(*) AS readmitted_pct, max(n) AS most
- FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)""")
+@query(f"""SELECT *, coalesce({sql_case("municipality_code", tables.MUNICIPALITIES)}, 'Município IBGE [' || municipality_code || ']') AS municipality FROM
+ (SELECT municipality_code, count(*) AS n FROM {_E} LEFT JOIN {_P} USING (patient_master_id) WHERE municipality_code IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 5)""")
+def demography_places(orders, customer):
+    return analytics.demography(_encounters(orders), _persons(customer))[1]
+
+
+@query(f"""SELECT count(*) AS patients, CAST(count_if(n > 1) AS BIGINT) AS readmitted, CAST(count_if(n > 1) AS BIGINT) * 100.0::DOUBLE / count(*) AS readmitted_pct, max(n) AS most
+ FROM (SELECT patient_master_id, count(*) AS n FROM {_E} GROUP BY 1)""")
 def readmissions(orders):
-    per = orders.groupBy("o_custkey").agg(F.count("*").alias("n"))
-    many = F.count_if(F.col("n") > 1)
-    return per.agg(F.count("*").alias("patients"), many.alias("readmitted"), (many * F.lit(100.0) / F.count("*")).alias("readmitted_pct"), F.max("n").alias("most"))
+    return analytics.readmissions(_encounters(orders))
 
 
-@query(f"""WITH top AS (SELECT o_custkey, {_PRICE} AS patient_total FROM orders GROUP BY 1 ORDER BY patient_total DESC, o_custkey LIMIT 1)
- SELECT o.o_custkey, o_orderkey, o_orderdate, o_totalprice, patient_total, CAST(row_number() OVER (PARTITION BY o.o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS step
- FROM orders o JOIN top ON o.o_custkey = top.o_custkey""")
+@query(f"""WITH e AS {_E}, top AS (SELECT patient_master_id, {_COST} AS patient_total FROM e GROUP BY 1 ORDER BY patient_total DESC, 1 LIMIT 1)
+ SELECT patient_master_id, encounter_id, period_start, total_cost_brl, patient_total, CAST(row_number() OVER (PARTITION BY patient_master_id ORDER BY period_start, encounter_id) AS BIGINT) AS step FROM e JOIN top USING (patient_master_id)""")
 def super_user_journey(orders):
-    top = orders.groupBy("o_custkey").agg(money("o_totalprice").alias("patient_total")).orderBy(F.desc("patient_total"), "o_custkey").limit(1)
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return orders.join(F.broadcast(top), "o_custkey").select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice", "patient_total", long(F.row_number().over(w)).alias("step"))
+    return analytics.super_user(_encounters(orders)).select("patient_master_id", "encounter_id", "period_start", "total_cost_brl", "patient_total", long(F.col("step")).alias("step"))
+
+
+@query(f"""SELECT patient_master_id, sum(n)::BIGINT AS encounters, count(*) AS hospitals, string_agg(organization_id, '|' ORDER BY first) AS hospital_list FROM
+ (SELECT patient_master_id, organization_id, count(*) AS n, min((period_start, encounter_id)) AS first FROM {_E} GROUP BY 1, 2) GROUP BY 1 HAVING count(*) > 1""")
+def multi_org_patients(orders):
+    return analytics.multi_hospital(_encounters(orders)).withColumn("hospital_list", F.array_join("hospital_list", "|"))
 
 
-@query("""SELECT o_custkey, count(DISTINCT l_suppkey) AS hospitals, count(DISTINCT o_orderkey) AS encounters, array_to_string(list_sort(list(DISTINCT l_suppkey)), '|') AS hospital_list
- FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1 HAVING count(DISTINCT l_suppkey) > 1""")
-def multi_org_patients(orders, lineitem):
-    # one distinct set for each of the two counts: two countDistincts would expand the rows twice
-    per = orders.join(lineitem, orders.o_orderkey == lineitem.l_orderkey).groupBy("o_custkey").agg(F.sort_array(F.collect_set("l_suppkey")).alias("s"), F.size(F.collect_set("o_orderkey")).alias("e"))
-    return per.filter(F.size("s") > 1).select("o_custkey", long(F.size("s")).alias("hospitals"), long(F.col("e")).alias("encounters"), F.array_join(F.transform("s", lambda x: x.cast("string")), "|").alias("hospital_list"))
+def _conditions(lineitem, part):
+    return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").cast("string").alias("encounter_id"), F.when(F.col("p_brand") == "Brand#11", "0000").otherwise(F.col("p_type")).alias("code"))
 
 
-@query("""SELECT o_orderkey, o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS step, coalesce(codes, '') AS codes
- FROM orders LEFT JOIN (SELECT l_orderkey, string_agg(p_type, '|' ORDER BY p_type) AS codes FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand <> 'Brand#11' GROUP BY 1) ON l_orderkey = o_orderkey""")
+def _procedures(lineitem):
+    return lineitem.filter("l_quantity > 30").select(F.col("l_orderkey").cast("string").alias("encounter_id"), F.concat_ws("-", "l_returnflag", "l_linestatus").alias("code"))
+
+
+@query(f"""SELECT encounter_id, patient_master_id, CAST(row_number() OVER (PARTITION BY patient_master_id ORDER BY period_start, encounter_id) AS BIGINT) AS step, conditions, procedures FROM {_E}
+ LEFT JOIN (SELECT l_orderkey::VARCHAR AS encounter_id, string_agg(p_type, '|' ORDER BY p_type) AS conditions FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_brand <> 'Brand#11' GROUP BY 1) USING (encounter_id)
+ LEFT JOIN (SELECT l_orderkey::VARCHAR AS encounter_id, string_agg(l_returnflag || '-' || l_linestatus, '|' ORDER BY l_returnflag || '-' || l_linestatus) AS procedures FROM lineitem WHERE l_quantity > 30 GROUP BY 1) USING (encounter_id)""")
 def journey_nested(orders, lineitem, part):
-    codes = lineitem.join(part.filter("p_brand <> 'Brand#11'"), F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey").agg(F.array_join(F.sort_array(F.collect_list("p_type")), "|").alias("codes"))
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return orders.join(codes, orders.o_orderkey == codes.l_orderkey, "left").select("o_orderkey", "o_custkey", long(F.row_number().over(w)).alias("step"), F.coalesce("codes", F.lit("")).alias("codes"))
+    out = analytics.journey_details(_encounters(orders), _conditions(lineitem, part), _procedures(lineitem))
+    return out.select("encounter_id", "patient_master_id", long(F.col("step")).alias("step"), F.array_join("condition_codes", "|").alias("conditions"), F.array_join("procedure_codes", "|").alias("procedures"))
 
 
-@query("""SELECT o_custkey, count(*) AS encounters FROM orders WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1 HAVING count(*) > 1""")
+@query(f"""WITH e AS {_E} SELECT patient_master_id, count(*) AS encounters, count(DISTINCT organization_id) AS hospitals FROM e WHERE patient_master_id IN (SELECT patient_master_id FROM e WHERE discharge_disposition = 'expired')
+ GROUP BY 1 HAVING count(*) > 1 OR count(DISTINCT organization_id) > 1""")
 def expired_semi(orders):
-    died = orders.filter(expired()).select("o_custkey")
-    return orders.join(died, "o_custkey", "left_semi").groupBy("o_custkey").agg(F.count("*").alias("encounters")).filter("encounters > 1")
+    return analytics.expired_journeys(_encounters(orders))
+
+
+_SEQUENCE = f"""SELECT patient_master_id, first, last, hospitals FROM (SELECT patient_master_id, arg_min(coalesce(discharge_disposition, '-'), (period_start, encounter_id)) AS first, arg_max(coalesce(discharge_disposition, '-'), (period_start, encounter_id)) AS last,
+ count(DISTINCT organization_id) AS hospitals FROM {_E} GROUP BY 1) WHERE first = 'discharged_alive' AND last = 'expired' AND hospitals > 1"""
 
 
-@query("""SELECT o_custkey, count(*) AS encounters FROM orders GROUP BY 1
- HAVING arg_min(o_orderstatus, (o_orderdate, o_orderkey)) <> 'F' AND arg_max(o_orderstatus, (o_orderdate, o_orderkey)) = 'F'""")
+@query(_SEQUENCE)
 def sequence_first_last(orders):
-    at = F.struct("o_orderdate", "o_orderkey")
-    per = orders.groupBy("o_custkey").agg(F.count("*").alias("encounters"), F.min_by("o_orderstatus", at).alias("first"), F.max_by("o_orderstatus", at).alias("last"))
-    return per.filter("first <> 'F' and last = 'F'").select("o_custkey", "encounters")
+    return analytics.alive_then_expired(_encounters(orders), None)
 
 
-@query("""SELECT o_custkey, encounters FROM (SELECT o_custkey, count(*) AS encounters, arg_min(o_orderstatus, (o_orderdate, o_orderkey)) AS a, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS b
- FROM orders GROUP BY 1) WHERE a <> 'F' AND b = 'F' ORDER BY o_custkey LIMIT 1""")
+@query(_SEQUENCE + " ORDER BY patient_master_id LIMIT 1")
 def sequence_first_hit(orders):
-    at = F.struct("o_orderdate", "o_orderkey")
-    per = orders.groupBy("o_custkey").agg(F.count("*").alias("encounters"), F.min_by("o_orderstatus", at).alias("a"), F.max_by("o_orderstatus", at).alias("b"))
-    return per.filter("a <> 'F' and b = 'F'").orderBy("o_custkey").limit(1).select("o_custkey", "encounters")
+    return analytics.alive_then_expired(_encounters(orders), 1)
+
+
+_PROCEDURE_CODES = [*list(tables.PROCEDURES)[:20], "0201010099", "0202030040", "0909090909", None]
+
+
+def _ambulatory(lineitem):
+    """Lines as ambulatory procedures; amounts are texts, as the extracts have them."""
+    return lineitem.select(nth(_PROCEDURE_CODES, F.col("l_partkey")).alias("PA_PROC_ID"), F.col("l_quantity").cast("string").alias("PA_QTDPRO"), F.replace(F.col("l_extendedprice").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(",")).alias("PA_VALPRO"))
 
 
-@query(f"""SELECT e.n AS visits, l.n AS procedures, l.cost AS procedure_cost, o.n AS admissions, o.cost AS hospital_cost, e.n / greatest(1, o.n)::DOUBLE AS visits_per_admission, l.cost * 100 / (l.cost + o.cost) AS procedure_cost_pct
- FROM (SELECT count(*) AS n FROM events) e, (SELECT count(*) AS n, {_LINE} AS cost FROM lineitem) l, (SELECT count(*) AS n, {_PRICE} AS cost FROM orders) o""")
+@query(f"""SELECT v AS primary_visits, q AS ambulatory_procedures, cost AS ambulatory_cost, o.n AS admissions, o.cost2 AS hospital_cost, v / greatest(1, o.n)::DOUBLE AS visits_per_admission, cost * 100 / (cost + o.cost2) AS ambulatory_cost_pct
+ FROM (SELECT {MONEY.format("user_id % 10")} AS v FROM events) e, (SELECT {MONEY.format("l_quantity")} AS q, {MONEY.format("l_extendedprice")} AS cost FROM lineitem) l, (SELECT count(*) AS n, {_COST} AS cost2 FROM {_E}) o""")
 def care_pyramid(events, lineitem, orders):
-    e = events.agg(F.count("*").alias("visits"))
-    ln = lineitem.agg(F.count("*").alias("procedures"), money("l_extendedprice").alias("procedure_cost"))
-    o = orders.agg(F.count("*").alias("admissions"), money("o_totalprice").alias("hospital_cost"))
-    cost = F.col("procedure_cost") + F.col("hospital_cost")
-    return e.crossJoin(ln).crossJoin(o).withColumns({"visits_per_admission": F.col("visits") / F.greatest(F.lit(1), "admissions").cast("double"), "procedure_cost_pct": F.col("procedure_cost") * 100 / cost})
+    return analytics.care_pyramid(events.select((F.col("user_id") % 10).cast("string").alias("QT_ATENDIMENTOS")), _ambulatory(lineitem), _encounters(orders))
 
 
-@query("""SELECT s_suppkey, days, admissions, beds, days * 100.0::DOUBLE / (beds * 31) AS occupancy_pct, admissions / beds::DOUBLE AS turnover FROM
- (SELECT l_suppkey, CAST(sum(date_diff('day', o_orderdate, l_shipdate)) AS BIGINT) AS days, count(*) AS admissions FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1)
- JOIN (SELECT s_suppkey, CAST(10 + s_suppkey % 90 AS BIGINT) AS beds FROM supplier) ON l_suppkey = s_suppkey""")
+@query(f"""SELECT organization_id, days, admissions, beds, days * 100.0::DOUBLE / (beds * 31) AS occupancy_pct, admissions / beds::DOUBLE AS turnover FROM (SELECT organization_id, CAST(sum(length_of_stay_days) AS BIGINT) AS days, count(*) AS admissions FROM {_S} GROUP BY 1)
+ JOIN (SELECT organization_id, max(bed_capacity) AS beds FROM {_H} WHERE bed_capacity > 0 GROUP BY 1) USING (organization_id)""")
 def occupancy(lineitem, orders, supplier):
-    used = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).groupBy("l_suppkey").agg(long(F.sum(F.date_diff("l_shipdate", "o_orderdate"))).alias("days"), F.count("*").alias("admissions"))
-    beds = supplier.select("s_suppkey", (F.lit(10) + F.col("s_suppkey") % 90).cast("long").alias("beds"))
-    out = used.join(beds, used.l_suppkey == beds.s_suppkey)
-    return out.select("s_suppkey", "days", "admissions", "beds", (F.col("days") * F.lit(100.0) / (F.col("beds") * 31)).alias("occupancy_pct"), (F.col("admissions") / F.col("beds").cast("double")).alias("turnover"))
+    return analytics.occupancy(_stays(lineitem, orders), _hospitals(supplier))
 
 
-@query("""SELECT e.n AS notified, l.n AS exams, o.n AS admitted, o.n * 100.0::DOUBLE / greatest(1, e.n) AS admitted_pct FROM
- (SELECT CAST(count_if(event_type = 'click') AS BIGINT) AS n FROM events) e,
- (SELECT CAST(count_if(starts_with(p_brand, 'Brand#1') OR starts_with(p_brand, 'Brand#2')) AS BIGINT) AS n FROM lineitem JOIN part ON l_partkey = p_partkey) l,
- (SELECT CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n FROM orders) o""")
-def funnel(events, lineitem, part, orders):
-    e = events.agg(F.count_if(F.col("event_type") == "click").alias("notified"))
-    wanted = part.filter(F.col("p_brand").startswith("Brand#1") | F.col("p_brand").startswith("Brand#2")).select("p_partkey")
-    ln = lineitem.join(wanted, lineitem.l_partkey == wanted.p_partkey).agg(F.count("*").alias("exams"))
-    o = orders.agg(F.count_if(expired()).alias("admitted"))
-    return e.crossJoin(ln).crossJoin(o).withColumn("admitted_pct", F.col("admitted") * F.lit(100.0) / F.greatest(F.lit(1), "notified"))
+@query(f"""SELECT e.n AS notified, l.q AS exams, o.n AS admitted, o.n * 100.0::DOUBLE / greatest(1, e.n) AS admitted_pct FROM (SELECT count(*) AS n FROM events WHERE event_type = 'click') e,
+ (SELECT {MONEY.format("l_quantity")} AS q FROM lineitem WHERE left({sql_nth(_PROCEDURE_CODES, "l_partkey")}, 4) IN ('0201', '0202')) l,
+ (SELECT CAST(count_if(left(primary_diagnosis_code, 3) IN ('A90', 'A91')) AS BIGINT) AS n FROM {_E}) o""")
+def funnel(events, lineitem, orders):
+    return analytics.dengue_funnel(events.filter("event_type = 'click'"), _ambulatory(lineitem), _encounters(orders))
 
 
-@query(f"""SELECT CAST(count_if(hit) AS BIGINT) AS avoidable, CAST(count_if(hit) AS BIGINT) * 100.0::DOUBLE / count(*) AS avoidable_pct, {_MONEY.format("CASE WHEN hit THEN l_extendedprice ELSE 0 END")} AS avoidable_cost
- FROM (SELECT l_extendedprice, substr(p_type, 1, 3) IN ('ECO', 'SMA', 'PRO') AS hit FROM lineitem JOIN part ON l_partkey = p_partkey)""")
-def code_set_share(lineitem, part):
-    rows = lineitem.join(part, lineitem.l_partkey == part.p_partkey).select("l_extendedprice", F.substring("p_type", 1, 3).isin("ECO", "SMA", "PRO").alias("hit"))
-    return rows.agg(F.count_if("hit").alias("avoidable"), (F.count_if("hit") * F.lit(100.0) / F.count("*")).alias("avoidable_pct"), money(F.when(F.col("hit"), F.col("l_extendedprice")).otherwise(0.0)).alias("avoidable_cost"))
+_HIT = "coalesce(substr(primary_diagnosis_code, 1, 3) IN (" + ", ".join(map(quoted, analytics.AVOIDABLE)) + "), false)"
 
 
-_MOVED = """(SELECT c_nationkey AS home, nullif(s_nationkey, 7) AS away, coalesce(c_nationkey <> nullif(s_nationkey, 7), true) AS travelled
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN supplier ON l_suppkey = s_suppkey)"""
+@query(f"SELECT CAST(count_if({_HIT}) AS BIGINT) AS avoidable, CAST(count_if({_HIT}) AS BIGINT) * 100.0::DOUBLE / count(*) AS avoidable_pct, {MONEY.format(f'CASE WHEN {_HIT} THEN total_cost_brl ELSE 0 END')} AS avoidable_cost FROM {_E}")
+def code_set_share(orders):
+    return analytics.avoidable(_encounters(orders))
+
+
+_MOVED = f"""(SELECT p.municipality_code AS home_place, h.municipality_code AS hospital_place, coalesce(p.municipality_code <> h.municipality_code, true) AS travelled
+ FROM {_S} s LEFT JOIN {_P} p USING (patient_master_id) LEFT JOIN {_H} h USING (organization_id))"""
 
 
 def _moved(lineitem, orders, customer, supplier):
-    """Lines with home and facility nation; nation 7 stands for an unknown facility."""
-    lines = lineitem.select("l_orderkey", "l_suppkey").join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.join(customer.select("c_custkey", F.col("c_nationkey").alias("home")), F.col("o_custkey") == F.col("c_custkey"), "left")
-    lines = lines.join(supplier.select("s_suppkey", F.expr("nullif(s_nationkey, 7)").alias("away")), F.col("l_suppkey") == F.col("s_suppkey"), "left")
-    return lines.select("home", "away", differs(F.col("home"), F.col("away")).alias("travelled"))
+    """Stays with home and hospital place; nation 7 stands for an unknown hospital place."""
+    return analytics.migration(_stays(lineitem, orders), _persons(customer), _hospitals(supplier))
 
 
 @query(f"SELECT CAST(count_if(travelled) AS BIGINT) AS travelled, count(*) AS encounters, CAST(count_if(travelled) AS BIGINT) * 100.0::DOUBLE / count(*) AS travelled_pct FROM {_MOVED}")
 def migration_rate(lineitem, orders, customer, supplier):
-    n = F.count_if("travelled")
-    return _moved(lineitem, orders, customer, supplier).agg(n.alias("travelled"), F.count("*").alias("encounters"), (n * F.lit(100.0) / F.count("*")).alias("travelled_pct"))
+    return analytics.migration_rate(_moved(lineitem, orders, customer, supplier))
+
+
+_BOTH = "travelled AND home_place IS NOT NULL AND hospital_place IS NOT NULL"
 
 
-@query(f"SELECT home, away, count(*) AS n FROM {_MOVED} WHERE travelled AND home IS NOT NULL AND away IS NOT NULL GROUP BY 1, 2 ORDER BY n DESC, home, away LIMIT 8")
+@query(f"SELECT home_place, hospital_place, count(*) AS n FROM {_MOVED} WHERE {_BOTH} GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 8")
 def migration_routes(lineitem, orders, customer, supplier):
-    rows = _moved(lineitem, orders, customer, supplier).filter("travelled and home is not null and away is not null")
-    return rows.groupBy("home", "away").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "home", "away").limit(8)
+    return analytics.migration_routes(_moved(lineitem, orders, customer, supplier))
 
 
-@query(f"SELECT home, {', '.join(f'CAST(count_if(away = {k}) AS BIGINT) AS to_{k}' for k in range(5))} FROM {_MOVED} WHERE home IS NOT NULL GROUP BY 1")
+@query(f"SELECT home_place, {', '.join(f'CAST(count_if(hospital_place = {quoted(k)}) AS BIGINT) AS to_{k}' for k in _PLACES)} FROM {_MOVED} WHERE {_BOTH} GROUP BY 1")
 def migration_matrix(lineitem, orders, customer, supplier):
-    rows = _moved(lineitem, orders, customer, supplier).filter("home is not null")
-    out = rows.groupBy("home").pivot("away", list(range(5))).count().na.fill(0)
-    return out.select("home", *[F.coalesce(F.col(str(k)), F.lit(0).cast("long")).alias(f"to_{k}") for k in range(5)])
+    """All travellers by home and by hospital, over every place that a nation can lie in."""
+    return analytics.migration_matrix(_moved(lineitem, orders, customer, supplier), _PLACES).withColumnsRenamed({k: f"to_{k}" for k in _PLACES})
 
 
-@query(f"SELECT home, away, count(*) AS n FROM {_MOVED} WHERE travelled AND home IS NOT NULL AND away IS NOT NULL GROUP BY 1, 2")
+@query(f"SELECT home_place, hospital_place, count(*) AS n FROM {_MOVED} WHERE {_BOTH} GROUP BY 1, 2")
 def migration_flows(lineitem, orders, customer, supplier):
-    """The crosstab of all who travelled over all destinations, a row for each pair; migration_matrix has five columns of it and non-travellers."""
-    return _moved(lineitem, orders, customer, supplier).filter("travelled and home is not null and away is not null").groupBy("home", "away").agg(F.count("*").alias("n"))
+    return analytics.migration_flows(_moved(lineitem, orders, customer, supplier))
 
 
-@query("""SELECT CAST(a AS BIGINT) AS equal_to, CAST(b AS BIGINT) AS begins_with, b * 100.0::DOUBLE / greatest(1, a + b) AS begins_pct FROM
- (SELECT count_if(p_brand = 'Brand#11') AS a, count_if(starts_with(p_brand, 'Brand#2') OR starts_with(p_brand, 'Brand#4')) AS b FROM lineitem JOIN part ON l_partkey = p_partkey)""")
-def binary_mode_share(lineitem, part):
-    brand = F.col("p_brand")
-    out = lineitem.join(part, lineitem.l_partkey == part.p_partkey).agg(F.count_if(brand == "Brand#11").alias("equal_to"), F.count_if(brand.startswith("Brand#2") | brand.startswith("Brand#4")).alias("begins_with"))
-    return out.withColumn("begins_pct", F.col("begins_with") * F.lit(100.0) / F.greatest(F.lit(1), F.col("equal_to") + F.col("begins_with")))
+@query(f"""SELECT CAST(a AS BIGINT) AS normal, CAST(b AS BIGINT) AS cesarean, b * 100.0::DOUBLE / greatest(1, a + b) AS cesarean_pct FROM
+ (SELECT count_if(primary_diagnosis_code = 'O80.0') AS a, count_if(starts_with(primary_diagnosis_code, 'O82') OR starts_with(primary_diagnosis_code, 'O84')) AS b FROM {_S})""")
+def binary_mode_share(lineitem, orders):
+    return analytics.birth_modes(_stays(lineitem, orders))
 
 
-@query(f"""SELECT CAST(count_if(l) AS BIGINT) AS long_stays, CAST(count_if(l) AS BIGINT) * 100.0::DOUBLE / count(*) AS long_pct, {_MONEY.format("CASE WHEN l THEN p ELSE 0 END")} AS long_cost,
- {_MONEY.format("CASE WHEN l THEN p ELSE 0 END")} * 100 / {_MONEY.format("p")} AS long_cost_pct FROM (SELECT date_diff('day', o_orderdate, l_shipdate) > 60 AS l, l_extendedprice AS p FROM lineitem JOIN orders ON l_orderkey = o_orderkey)""")
+_LONG_COST = MONEY.format("CASE WHEN coalesce(length_of_stay_days > 60, false) THEN total_cost_brl ELSE 0 END")
+
+
+@query(f"""SELECT CAST(count_if(length_of_stay_days > 60) AS BIGINT) AS long_stays, CAST(count_if(length_of_stay_days > 60) AS BIGINT) * 100.0::DOUBLE / count(*) AS long_pct, {_LONG_COST} AS long_cost, {_LONG_COST} * 100 / {_COST} AS long_cost_pct FROM {_S}""")
 def long_tail(lineitem, orders):
-    rows = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey).select((F.date_diff("l_shipdate", "o_orderdate") > 60).alias("l"), F.col("l_extendedprice").alias("p"))
-    cost = money(F.when(F.col("l"), F.col("p")).otherwise(0.0))
-    return rows.agg(F.count_if("l").alias("long_stays"), (F.count_if("l") * F.lit(100.0) / F.count("*")).alias("long_pct"), cost.alias("long_cost"), (cost * 100 / money("p")).alias("long_cost_pct"))
+    return analytics.long_stays(_stays(lineitem, orders), 60)
+
+
+@query(f"""SELECT PA_PROC_ID, n, coalesce({sql_case("PA_PROC_ID", tables.PROCEDURES)}, 'Procedimento SUS [' || PA_PROC_ID || ']') AS label FROM
+ (SELECT {sql_nth(_PROCEDURE_CODES, "l_partkey")} AS PA_PROC_ID, count(*) AS n FROM lineitem GROUP BY 1) WHERE PA_PROC_ID IS NOT NULL ORDER BY n DESC, 1 LIMIT 10""")
+def top_ambulatory(lineitem):
+    return analytics.top_ambulatory(_ambulatory(lineitem))
 
 
-@query("""SELECT band, count(*) AS n, min(p_size) AS smallest, max(p_size) AS largest FROM (SELECT p_size, CASE WHEN p_size > 0 AND p_size <= 12 THEN '(0, 12]' WHEN p_size > 12 AND p_size <= 19 THEN '(12, 19]'
- WHEN p_size > 19 AND p_size <= 59 THEN '(19, 59]' WHEN p_size > 59 AND p_size <= 120 THEN '(59, 120]' END AS band FROM part) WHERE band IS NOT NULL GROUP BY 1""")
-def bands(part):
-    band = F.lit(None).cast("string")
-    for low, high in ((0, 12), (12, 19), (19, 59), (59, 120)):
-        band = F.when((F.col("p_size") > low) & (F.col("p_size") <= high), f"({low}, {high}]").otherwise(band)
-    return part.withColumn("band", band).filter("band is not null").groupBy("band").agg(F.count("*").alias("n"), F.min("p_size").alias("smallest"), F.max("p_size").alias("largest"))
+@query(f"""SELECT band, band_order, count(*) AS n, {_COST} / count(total_cost_brl) AS mean_cost, {_DEATHS} * 100.0::DOUBLE / count(*) AS mortality_pct FROM (SELECT *, CASE WHEN a <= 12 THEN '(0, 12]' WHEN a <= 19 THEN '(12, 19]' WHEN a <= 59 THEN '(19, 59]' ELSE '(59, 120]' END AS band,
+ CASE WHEN a <= 12 THEN 0 WHEN a <= 19 THEN 1 WHEN a <= 59 THEN 2 ELSE 3 END AS band_order FROM (SELECT *, patient_id::BIGINT % 131 AS a FROM {_E}) WHERE a > 0 AND a <= 120) GROUP BY 1, 2""")
+def bands(orders):
+    return analytics.age_bands(_encounters(orders).withColumn("IDADE", (F.col("patient_id").cast("long") % 131).cast("string")))
 
 
-@query("SELECT p_partkey, p_name, p_type FROM part WHERE starts_with(p_type, 'S')")
+@query("SELECT p_partkey::VARCHAR AS encounter_id, p_name AS patient_id, p_brand AS organization_id, p_type AS primary_diagnosis_code, p_retailprice AS total_cost_brl FROM part WHERE starts_with(p_type, 'S')")
 def prefix_listing(part):
-    return part.filter(F.col("p_type").startswith("S")).select("p_partkey", "p_name", "p_type")
+    return analytics.complications(part.select(F.col("p_partkey").cast("string").alias("encounter_id"), F.col("p_name").alias("patient_id"), F.col("p_brand").alias("organization_id"), F.col("p_type").alias("primary_diagnosis_code"), F.col("p_retailprice").alias("total_cost_brl")), "S")
+
+
+@query(f"SELECT encounter_id, patient_id, organization_id, primary_diagnosis_code, total_cost_brl FROM {_E} WHERE starts_with(primary_diagnosis_code, 'T88')")
+def complications(orders):
+    return analytics.complications(_encounters(orders))
+
+
+@query(f"SELECT discharge_disposition, count(*) AS n FROM {_E} WHERE discharge_disposition IS NOT NULL GROUP BY 1")
+def dispositions(orders):
+    return analytics.dispositions(_encounters(orders))
+
+
+_CHAPTER_LABEL = _DX_LABEL.replace("'Diagnóstico [' || primary_diagnosis_code || ']'", "'Diagnóstico [' || coalesce(primary_diagnosis_code, '') || ']' || coalesce(' (' || primary_diagnosis_chapter || ')', '')")
+
+
+@query(f"""SELECT encounter_id, {_CHAPTER_LABEL} AS diagnosis_name, coalesce({sql_case("p", tables.PROCEDURES)}, 'Procedimento SUS [' || coalesce(p, '') || ']') AS procedure_name, {_HOSPITAL_LABEL} AS hospital_name
+ FROM (SELECT *, {sql_nth(_PROCEDURE_CODES, "encounter_id::BIGINT")} AS p FROM {_E})""")
+def enriched_encounters(orders):
+    e = _encounters(orders)
+    e = e.withColumn("primary_procedure_code", nth(_PROCEDURE_CODES, F.col("encounter_id").cast("long")))
+    return analytics.enriched(e).select("encounter_id", "diagnosis_name", "procedure_name", "hospital_name")
 
 
 @query("""SELECT s_suppkey, coalesce(n_name, 'Place [' || s_nationkey || ']') AS place, CASE n_name WHEN 'NATION_1' THEN 'one' WHEN 'NATION_2' THEN 'two' ELSE 'other' END AS kind
@@ -277,9 +327,7 @@ def label_enrichment(supplier, nation):
 
 @query(" UNION ALL ".join(f"SELECT '{t}' AS source, count(*) AS n FROM {t}" for t in ("orders", "lineitem", "supplier", "customer", "events")))
 def volumes(orders, lineitem, supplier, customer, events):
-    from meridian.plans.analytics import volumes as count
-
-    return count({"orders": orders, "lineitem": lineitem, "supplier": supplier, "customer": customer, "events": events})
+    return analytics.volumes({"orders": orders, "lineitem": lineitem, "supplier": supplier, "customer": customer, "events": events})
 
 
 @query(f"SELECT c_custkey, sha256(trim(c_name) || '{SALT}') AS c_name FROM customer")
@@ -319,9 +367,6 @@ def hash_shape(customer):
     return customer.agg(F.count_if(is_hash(h)).alias("hashed"), F.count("*").alias("n"))
 
 
-_CASES = " ".join(f"WHEN c BETWEEN '{a}' AND '{b}' THEN '{name}'" for name, (a, b, _) in tables.CHAPTERS.items())
-
-
 @query(f"""SELECT p_partkey, raw, valid, CASE WHEN NOT valid THEN raw WHEN length(raw) = 3 THEN raw ELSE c || '.' || substr(raw, 4) END AS code, CASE WHEN valid THEN CASE {_CASES} ELSE 'UNKNOWN' END END AS chapter FROM
  (SELECT p_partkey, raw, substr(raw, 1, 3) AS c, regexp_full_match(substr(raw, 1, 3), '[A-Z][0-9]{{2}}') AS valid FROM
  (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'X' ELSE '' END || chr((65 + p_partkey % 26)::INT) || lpad((p_partkey % 100)::VARCHAR, 2, '0') || CASE WHEN p_partkey % 3 = 0 THEN (p_partkey % 10)::VARCHAR ELSE '' END AS raw FROM part))""")
@@ -387,25 +432,6 @@ def wait_time(orders, lineitem):
     return joined.select("o_orderkey", terminology.days_between(F.col("first").cast("string"), F.col("o_orderdate").cast("string")).alias("wait_days"), F.col("first").isNotNull().alias("is_authorized"))
 
 
-@query("""SELECT n_nationkey, n, coalesce(population, 30000) AS population, n * 100.0::DOUBLE / coalesce(population, 30000) AS coverage_pct FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1)
- JOIN nation ON c_nationkey = n_nationkey LEFT JOIN (VALUES (1, 419452), (2, 89072), (3, 46511)) AS v(k, population) ON k = n_nationkey""")
-def coverage_ratio(customer, nation):
-    per = customer.groupBy("c_nationkey").agg(F.count("*").alias("n")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    population = lookup(F.col("n_nationkey"), {1: 419452, 2: 89072, 3: 46511}, F.lit(tables.NO_POPULATION))
-    return per.select("n_nationkey", "n", population.alias("population"), (F.col("n") * F.lit(100.0) / population).alias("coverage_pct"))
-
-
-@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
-def json_extract(events):
-    return events.select("event_id", F.get_json_object("props", "$.k").alias("k"))
-
-
-@query("""SELECT p_partkey, 'primary' AS rank, p_type AS code FROM part UNION ALL SELECT p_partkey, 'secondary', p_brand FROM part WHERE p_partkey % 3 = 0""")
-def explode_secondary(part):
-    found = F.array(F.struct(F.lit("primary").alias("rank"), F.col("p_type").alias("code")), F.struct(F.lit("secondary").alias("rank"), F.when(F.col("p_partkey") % 3 == 0, F.col("p_brand")).alias("code")))
-    return part.select("p_partkey", F.explode(F.filter(found, lambda x: x["code"].isNotNull())).alias("c")).select("p_partkey", "c.rank", "c.code")
-
-
 @query("SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS n FROM orders) WHERE n = 1")
 def keep_first_order(orders):
     return keep_first(orders.select("o_custkey", "o_orderkey", "o_orderdate"), ["o_custkey"], ["o_orderdate", "o_orderkey"])
@@ -439,19 +465,30 @@ def distinct_partitions(lineitem):
     return lineitem.select(long(F.year("l_shipdate")).alias("year"), long(F.month("l_shipdate")).alias("month")).distinct()
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')")
 def patients_without_encounter(customer, orders):
-    return customer.join(orders, customer.c_custkey == orders.o_custkey, "left_anti").select("c_custkey", "c_name")
+    """Patients without an urgent encounter that is still open."""
+    urgent = orders.filter("o_orderstatus = 'P' and o_orderpriority = '1-URGENT'")
+    return customer.join(urgent, customer.c_custkey == urgent.o_custkey, "left_anti").select("c_custkey", "c_name")
 
 
-@query(f"""SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, {_MONEY.format("round(value, 2)")} AS total FROM events GROUP BY 1, 2""")
+@query(f"""SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, {MONEY.format("round(value, 2)")} AS total FROM events GROUP BY 1, 2""")
 def event_windows(events):
     return windowed_counts(events.withColumn("value", F.round("value", 2).cast("decimal(18,2)"))).withColumn("total", F.col("total").cast("double"))
 
 
-@query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IS NOT NULL GROUP BY 1")
-def dispositions(orders):
-    return orders.filter("o_orderstatus is not null").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+@query("""SELECT w AS window_start, event_type, count(*) AS n FROM (SELECT event_type, unnest([date_trunc('day', ts), date_trunc('day', ts) - INTERVAL 12 HOUR, date_trunc('day', ts) + INTERVAL 12 HOUR]) AS w, ts FROM events)
+ WHERE ts >= w AND ts < w + INTERVAL 1 DAY GROUP BY 1, 2""")
+def sliding_windows(events):
+    """Windows of a day that begin every twelve hours."""
+    return windowed_counts(events, "1 day", slide="12 hours").select("window_start", "event_type", "n")
+
+
+@query("""WITH e AS (SELECT user_id, ts, CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > ts - INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events),
+ g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS g FROM e)
+ SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n FROM g GROUP BY user_id, g""")
+def session_windows(events):
+    return sessions(events, "6 hours")
 
 
 @query("SELECT n_name, CAST(count_if(contains(n_name, '1')) AS BIGINT) AS with_one, count(*) AS n FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY 1")
@@ -516,3 +553,6 @@ def export_labels(orders):
     k = F.col("o_orderkey") % 4
     rows = orders.select("o_orderkey", F.when(k == 0, "EMER").when(k == 1, "IMP").when(k == 2, "AMB").otherwise("X").alias("encounter_class"), lookup(F.col("o_orderstatus"), {"F": "expired", "O": "discharged_alive"}, F.lit("open")).alias("discharge_disposition"))
     return labelled(rows, "fct_encounters").drop("discharge_disposition")
+
+
+from meridian.plans import mapper_queries  # noqa: E402, F401 - registers its own

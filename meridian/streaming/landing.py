@@ -21,7 +21,16 @@ def land(spark: SparkSession, folder: str, schema: StructType | str, source_type
     return out.writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy("year", "month").trigger(availableNow=True).start(table)
 
 
-def windowed_counts(events: DataFrame, width: str = "1 day", late: str = "2 days") -> DataFrame:
-    """Events for each window and type; a stream closes a window once the watermark has passed it."""
-    source = events.withWatermark("ts", late) if events.isStreaming else events
-    return source.groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
+def _late(events: DataFrame, late: str) -> DataFrame:
+    return events.withWatermark("ts", late) if events.isStreaming else events
+
+
+def windowed_counts(events: DataFrame, width: str = "1 day", late: str = "2 days", slide: str | None = None) -> DataFrame:
+    """Events for each window and type, tumbling or sliding; a stream closes a window once the watermark has passed it."""
+    return _late(events, late).groupBy(F.window("ts", width, slide).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("window_start"), "event_type", "n", "total")
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 days", key: str = "user_id") -> DataFrame:
+    """Each key's runs of events with less than the gap between them: begin, end (the last event and the gap), events."""
+    out = _late(events, late).groupBy(F.session_window("ts", gap).alias("w"), key).agg(F.count("*").alias("n"))
+    return out.select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
