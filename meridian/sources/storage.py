@@ -15,6 +15,12 @@ from pyspark.sql import functions as F
 from meridian.operators.mapping import CanonicalDataset
 
 
+def hadoop(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path for it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 class TableFormat:
     """Partitioned Parquet; a subclass may put another format behind the same calls."""
 
@@ -31,8 +37,19 @@ class TableFormat:
         return spark.read.format(self.name).option("mergeSchema", True).load(path)
 
     def exists(self, spark: SparkSession, path: str) -> bool:
-        p = spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+        """Whether there is a data file; a folder that holds none is no table."""
+        fs, p = hadoop(spark, path)
+        if not fs.exists(p):
+            return False
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            if not files.next().getPath().getName().startswith(("_", ".")):
+                return True
+        return False
+
+    def remove(self, spark: SparkSession, path: str) -> None:
+        fs, p = hadoop(spark, path)
+        fs.delete(p, True)
 
 
 PARQUET = TableFormat()
@@ -49,7 +66,8 @@ class BronzeWriter:
         self.path, self.format = lakehouse_path.rstrip("/"), table_format
 
     def write(self, df: DataFrame, metadata: dict, idempotent: bool = False) -> dict:
-        """Appends to source/subsystem, partitioned by year and month of the data where it has them, else of now."""
+        """Appends to source/subsystem, partitioned by year and month of the data where it has them, else of now. Where
+        nothing comes no table is made."""
         began, now = time.monotonic(), datetime.now(timezone.utc)
         where = f"{self.path}/{metadata['source']}/{metadata['subsystem']}"
         out = df.withColumns({"_ingested_at": F.lit(now.isoformat()), "_source_type": F.lit(metadata["source_type"]), "_source_file": F.lit(metadata.get("source_file", "unknown"))})
@@ -57,7 +75,10 @@ class BronzeWriter:
             if name not in out.columns:
                 out = out.withColumn(name, F.lit(int(value)))
         out, seen = _counted(out)
+        there = self.format.exists(df.sparkSession, where)
         (self.format.overwrite if idempotent else self.format.append)(out, where, ("year", "month"))
+        if not seen.get["n"] and not there:
+            self.format.remove(df.sparkSession, where)
         return {"rows_written": seen.get["n"], "table_path": where, "duration_seconds": time.monotonic() - began}
 
 
@@ -66,11 +87,18 @@ class SilverWriter:
         self.path, self.format = silver_base_path.rstrip("/"), table_format
 
     def write_table(self, df: DataFrame | None, name: str) -> dict:
-        if df is None or df.isEmpty():
+        """The plan runs once: whether there were rows is told by the write."""
+        if df is None:
             return {"status": "skipped_empty", "rows_written": 0}
+        where = f"{self.path}/{name}"
+        there = self.format.exists(df.sparkSession, where)
         out, seen = _counted(df)
-        self.format.append(out, f"{self.path}/{name}")
-        return {"status": "success", "rows_written": seen.get["n"]}
+        self.format.append(out, where)
+        if seen.get["n"]:
+            return {"status": "success", "rows_written": seen.get["n"]}
+        if not there:
+            self.format.remove(df.sparkSession, where)
+        return {"status": "skipped_empty", "rows_written": 0}
 
     def write_canonical_dataset(self, ds: CanonicalDataset) -> dict[str, dict]:
         return {name: self.write_table(df, name) for name, df in ds.tables().items()}
@@ -82,27 +110,79 @@ def schema_fingerprint(df: DataFrame) -> str:
     return hashlib.md5(df.schema.json().encode()).hexdigest()
 
 
+class JsonFolder:
+    """Small JSON files in a folder: a local one, or any that Hadoop knows by a scheme (through the active session)."""
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def _fs(self) -> tuple:
+        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+        return (spark, *hadoop(spark, self.path))
+
+    def write(self, name: str, row: dict) -> None:
+        """Whole or not at all: a draft takes the file's name when it is complete."""
+        if "://" not in self.path:
+            folder = Path(self.path)
+            folder.mkdir(parents=True, exist_ok=True)
+            draft = folder / f".{name}.{uuid.uuid4().hex}"
+            draft.write_text(json.dumps(row))
+            draft.replace(folder / f"{name}.json")
+            return
+        spark, fs, _ = self._fs()
+        of = lambda n: spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{n}")
+        draft, last = of(f".{name}.{uuid.uuid4().hex}"), of(f"{name}.json")
+        out = fs.create(draft, True)
+        try:
+            out.write(bytearray(json.dumps(row).encode()))
+        finally:
+            out.close()
+        if not fs.rename(draft, last):
+            fs.delete(last, False)
+            if not fs.rename(draft, last):
+                raise OSError(f"{self.path}/{name}.json could not be written")
+
+    def read(self, name: str) -> dict | None:
+        if "://" not in self.path:
+            p = Path(self.path) / f"{name}.json"
+            return json.loads(p.read_text()) if p.exists() else None
+        spark, fs, _ = self._fs()
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}.json")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def names(self) -> list[str]:
+        if "://" not in self.path:
+            found = [p.name for p in Path(self.path).glob("*.json")]
+        else:
+            _, fs, p = self._fs()
+            found = [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+        return sorted(n.removesuffix(".json") for n in found if n.endswith(".json") and not n.startswith("."))
+
+
 class DatasetCatalog:
     """One JSON file for each dataset in a folder: registering never rewrites what others registered."""
 
     def __init__(self, path: str):
-        self.path = Path(path)
-        self.path.mkdir(parents=True, exist_ok=True)
+        self.folder = JsonFolder(path)
 
     def register_dataset(self, source_type: str, partition_path: str, row_count: int, schema_fingerprint: str, pii_anonymized: bool = True, extra_metadata: dict | None = None) -> str:
         dataset_id, now = str(uuid.uuid4()), datetime.now(timezone.utc).isoformat()
         row = {"dataset_id": dataset_id, "source_type": source_type, "partition_path": partition_path, "row_count": row_count, "schema_fingerprint": schema_fingerprint, "ingested_at": now, "pii_anonymized": pii_anonymized, "extra_metadata": extra_metadata or {}}
-        draft = self.path / f".{dataset_id}"
-        draft.write_text(json.dumps(row))
-        draft.rename(self.path / f"{dataset_id}.json")
+        self.folder.write(dataset_id, row)
         return dataset_id
 
     def list_datasets(self) -> list[dict]:
-        return sorted((json.loads(p.read_text()) for p in self.path.glob("*.json")), key=lambda r: (r["ingested_at"], r["dataset_id"]))
+        rows = (self.folder.read(n) for n in self.folder.names())
+        return sorted((r for r in rows if r is not None), key=lambda r: (r["ingested_at"], r["dataset_id"]))
 
     def get_dataset(self, dataset_id: str) -> dict | None:
-        p = self.path / f"{dataset_id}.json"
-        return json.loads(p.read_text()) if p.exists() else None
+        return self.folder.read(dataset_id)
 
     def get_datasets_by_source(self, source_type: str) -> list[dict]:
         return [r for r in self.list_datasets() if r["source_type"] == source_type]
@@ -112,17 +192,13 @@ class Checkpoints:
     """Ingestion state, one JSON file for each source type."""
 
     def __init__(self, state_dir: str):
-        self.path = Path(state_dir)
+        self.folder = JsonFolder(state_dir)
 
     def save(self, source_type: str, state: dict) -> None:
-        self.path.mkdir(parents=True, exist_ok=True)
-        draft = self.path / f".{source_type}_state.json"
-        draft.write_text(json.dumps(state))
-        draft.rename(self.path / f"{source_type}_state.json")
+        self.folder.write(f"{source_type}_state", state)
 
     def load(self, source_type: str) -> dict | None:
-        p = self.path / f"{source_type}_state.json"
-        return json.loads(p.read_text()) if p.exists() else None
+        return self.folder.read(f"{source_type}_state")
 
 
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
@@ -164,8 +240,9 @@ def read_sqlite(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in columns))
 
 
-def inspect(df: DataFrame, by: str | None = None, hashed: str | None = None) -> dict:
-    """Columns, rows, rows by a column's values and the share of a column that looks hashed, in one pass where it can."""
+def inspect(df: DataFrame, by: str | None = None, hashed: str | None = None, most: int = 1000) -> dict:
+    """Columns, rows, rows by a column's values (the ``most`` most frequent ones) and the share of a column that looks
+    hashed, in one pass where it can."""
     from meridian.functions.text import is_hash
 
     aggs = [F.count(F.lit(1)).alias("n")] + ([F.avg(is_hash(F.col(hashed)).cast("int")).alias("h")] if hashed else [])
@@ -174,5 +251,5 @@ def inspect(df: DataFrame, by: str | None = None, hashed: str | None = None) ->
     if hashed:
         out["hashed_share"] = row["h"]
     if by:
-        out["distribution"] = {r[by]: r["count"] for r in df.groupBy(by).count().collect()}
+        out["distribution"] = {r[by]: r["count"] for r in df.groupBy(by).count().orderBy(F.desc("count"), by).limit(most).collect()}
     return out

@@ -4,6 +4,7 @@ import json
 import struct
 
 import pytest
+from pyspark.sql import functions as F
 
 from meridian.plans.jobs import CircuitBreakerOpen, Ingestion, SilverPipeline, merge
 from meridian.operators import mapping
@@ -111,6 +112,8 @@ def test_bronze(spark, tmp_path):
     assert t.count() == 6 and {"_ingested_at", "_source_type", "_source_file", "year", "month"} <= set(t.columns)
     assert (tmp_path / "datasus/sih/year=2025/month=1").is_dir()
     assert w.write(bronze_rows(spark).limit(0), META)["rows_written"] == 0
+    empty = w.write(bronze_rows(spark).limit(0), META | {"subsystem": "cnes"})
+    assert empty["rows_written"] == 0 and not w.format.exists(spark, empty["table_path"]) and not (tmp_path / "datasus/cnes").exists()
     w.write(bronze_rows(spark), META, idempotent=True)
     assert spark.read.parquet(stats["table_path"]).count() == 3
 
@@ -179,6 +182,98 @@ def test_ingestion_end_to_end(spark, tmp_path):
     assert p.transform_bronze_table(str(tmp_path / "none"), "sih") == {"skipped": True}
 
 
+def test_retry_repeats_nothing_that_was_written(spark, tmp_path):
+    catalog = storage.DatasetCatalog(str(tmp_path / "c"))
+    register, fails = catalog.register_dataset, [1, 1]
+
+    def sometimes(*a, **k):
+        if fails:
+            fails.pop()
+            raise OSError("catalogue is down")
+        return register(*a, **k)
+
+    catalog.register_dataset = sometimes
+    fetched = []
+    job = Ingestion("sisreg_regulation", lambda: fetched.append(1) or readers.sample_referrals(spark), salt="s", bronze=storage.BronzeWriter(str(tmp_path / "b")), catalog=catalog, quarantine=str(tmp_path / "q"))
+    out = job.run({"source": "sisreg", "subsystem": "regulation"}, sleep=lambda s: None)
+    assert spark.read.parquet(out["bronze"]["table_path"]).count() == 4 and len(fetched) == 1
+    assert [r["dataset_id"] for r in catalog.list_datasets()] == [out["dataset_id"]] and job.failures == 0
+    broken = storage.BronzeWriter(str(tmp_path / "b2"))
+    write, tries = broken.write, [1]
+
+    def second(*a, **k):
+        if tries:
+            tries.pop()
+            raise OSError("bronze is down")
+        return write(*a, **k)
+
+    broken.write = second
+    rows = spark.createDataFrame([("A", None), ("Patient", "p")], "resourceType string, id string")
+    job = Ingestion("fhir_synthetic", lambda: rows, bronze=broken, quarantine=str(tmp_path / "q2"))
+    out = job.run({"source": "fhir", "subsystem": "r4"}, sleep=lambda s: None)
+    assert out["bronze"]["rows_written"] == 1 and spark.read.parquet(str(tmp_path / "q2/fhir_synthetic")).count() == 1
+
+
+def test_empty_month_is_skipped(spark, tmp_path):
+    bronze = storage.BronzeWriter(str(tmp_path / "b"))
+    path = bronze.write(bronze_rows(spark).limit(0), META)["table_path"]
+    assert SilverPipeline(spark, "s", storage.SilverWriter(str(tmp_path / "s"))).transform_bronze_table(path, "datasus_sih") == {"skipped": True}
+
+
+def test_silver_tables_come_from_one_reading(spark, tmp_path):
+    """Keys that each reading would make anew are the same in all tables."""
+    rows = spark.range(20).select(F.expr("uuid()").alias("N_AIH"), F.lit("A90").alias("DIAG_PRINC"), F.lit(None).alias("DIAG_SECUN")).repartition(3)
+    SilverPipeline(spark, "s", storage.SilverWriter(str(tmp_path / "s"))).transform_dataframe(rows, "datasus_sih")
+    ids = lambda t: {r.encounter_id for r in spark.read.parquet(str(tmp_path / "s" / t)).collect()}
+    assert ids("fct_encounters") == ids("fct_conditions") and len(ids("fct_encounters")) == 20
+    assert not list((tmp_path / "s/_base").glob("*"))
+
+
+def test_catalog_by_hadoop_file_system(spark, tmp_path):
+    c = storage.DatasetCatalog(f"file://{tmp_path}/c")
+    assert c.list_datasets() == []
+    a = c.register_dataset("x", "/p", 3, "fp")
+    assert c.get_dataset(a)["row_count"] == 3 and c.get_dataset("none") is None and (tmp_path / f"c/{a}.json").exists()
+    k = storage.Checkpoints(f"file://{tmp_path}/s")
+    for at in (1, 2):
+        k.save("x", {"at": at})
+    assert k.load("x") == {"at": 2} and k.load("y") is None
+
+
+def test_dbf_in_parts(spark, tmp_path):
+    data = dbf_bytes([(str(i), "x", i % 5 == 0) for i in range(23)])
+    (tmp_path / "a.dbf").write_bytes(data)
+    spark.dataSource.register(dbf.DbfSource)
+    df = spark.read.format("dbf").option("rowsPerPartition", 4).load(f"{tmp_path}/a.dbf")
+    assert df.rdd.getNumPartitions() == 6
+    assert sorted(int(r[0]) for r in df.collect()) == [i for i in range(23) if i % 5]
+    assert spark.read.format("dbf").load(f"file://{tmp_path}/a.dbf").count() == 18
+
+
+def test_notebook(tmp_path):
+    import json
+
+    from meridian.plans import notebook
+
+    n = notebook.write_notebook(str(tmp_path / "n.ipynb"), "/lake/silver")
+    made = json.loads((tmp_path / "n.ipynb").read_text())
+    assert made["nbformat"] == 4 and len(made["cells"]) == n == 2 + 2 * len(notebook.REPORTS)
+    for cell in made["cells"]:
+        if cell["cell_type"] == "code":
+            compile("".join(cell["source"]), "cell", "exec")
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    events = spark.createDataFrame([("a", 1, "2025-01-01 10:00:00", 1.0), ("a", 1, "2025-01-01 10:10:00", 2.0), ("b", 1, "2025-01-01 12:00:00", 4.0)], "event_type string, user_id int, at string, value double").withColumn("ts", F.to_timestamp("at"))
+    events.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    for name, make in (("tumbling", landing.windowed_counts), ("sliding", lambda e: landing.windowed_counts(e, "1 hour", slide="30 minutes")), ("sessions", landing.sessions)):
+        make(stream).writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination()
+        got = sorted(map(repr, spark.table(name).collect()))
+        assert got and got == sorted(map(repr, make(events).collect())), name
+    assert sorted(r.n for r in spark.table("sessions").collect()) == [1, 2] and spark.table("sliding").count() == 4
+
+
 def test_merge(spark):
     a = mapping.map_health_plans(readers.sample_plans(spark))
     assert merge(a, a).summary()["dim_health_plans"] == 10
