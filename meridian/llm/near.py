@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meridian.llm import simhash
-from meridian.llm.common import prepare, texts, written
+from meridian.llm.common import discard, prepare, texts, written
 
 WORDS, SIMILARITY, SEED, RADIUS = 5, 0.8, 42, 4
 BANDS, ROWS = 30, 5
@@ -46,13 +46,13 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
 
 
 def bands(hashes: np.ndarray) -> np.ndarray:
-    """The set's keys, one for each band; none for the empty set."""
+    """The set's keys, one for each band (hashed with its number); none for the empty set."""
     if not len(hashes):
         return np.zeros(0, np.int64)
     least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(hashes), 2048):
         least = np.minimum(least, ((hashes[i : i + 2048, None] ^ _XOR) * _TIMES).min(axis=0))
-    return np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in least.reshape(BANDS, ROWS)], np.uint64).view(np.int64)
+    return np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED + i) for i, x in enumerate(least.reshape(BANDS, ROWS))], np.uint64).view(np.int64)
 
 
 def row_key() -> Column:
@@ -137,14 +137,14 @@ def within_radius(classes: DataFrame, radius: int) -> DataFrame:
 
 def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, bucket_limit: int, radius: int) -> DataFrame:
     """Links (a > b) between the classes (cls, fp, keys, first) that connect all pairs of at least the similarity that meet."""
-    keys = classes.select("cls", F.posexplode("keys").alias("k", "key"))
-    mark = F.xxhash64("cls")
-    found = (F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(mark.cast("decimal(38,0)")).alias("s"), F.max("cls").alias("a"), F.min("cls").alias("b"))
-    buckets = keys.groupBy("k", "key").agg(*found).filter("n > 1")
-    sole = written(buckets.groupBy("x", "s", "n").agg(F.min(F.struct("k", "key", "a", "b")).alias("at")).select("at.*", "n"), "near-buckets")
+    keys = classes.select("cls", F.explode("keys").alias("key"))
+    # buckets of the same members, by two hashes of the set of them, are one
+    found = (F.count("*").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit("again"))).alias("y"), F.max("cls").alias("a"), F.min("cls").alias("b"))
+    buckets = keys.groupBy("key").agg(*found).filter("n > 1")
+    sole = written(buckets.groupBy("x", "y", "n").agg(F.min(F.struct("key", "a", "b")).alias("at")).select("at.*", "n"), "near-buckets")
     pairs = sole.filter("n = 2").select("a", "b").unionByName(within_radius(classes.select("cls", "fp"), radius)).distinct()
     pairs = written(pairs, "near-pairs")
-    members = written(keys.join(sole.filter("n > 2").select("k", "key", "n"), ["k", "key"]).select("k", "key", "n", "cls"), "near-members")
+    members = written(keys.join(sole.filter("n > 2").select("key", "n"), "key").select("key", "n", "cls"), "near-members")
     named = members.select("cls").unionByName(pairs.select(F.col("a").alias("cls"))).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     asked = classes.join(named, "cls", "left_semi").select("cls", F.col("first.row").alias("row"))
     # the one row of a class that is read again: rows that repeat it are equal to it
@@ -154,7 +154,7 @@ def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, bu
     two = pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(_similar(similarity), "a long, b long")
     blocks = F.ceil(F.col("n") / F.lit(bucket_limit)).cast("int")
     dealt = members.withColumn("blocks", blocks).withColumn("i", F.pmod(F.xxhash64("cls", F.lit("block")), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("k", "key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "cls").join(sets, "cls")
+    dealt = dealt.select("key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "cls").join(sets, "cls")
 
     def checked(table: pa.Table) -> pa.Table:
         cls = table.column("cls").to_numpy()
@@ -162,7 +162,7 @@ def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, bu
         a, b = np.array(found, np.int64).reshape(-1, 2).T
         return pa.Table.from_arrays([pa.array(np.maximum(cls[a], cls[b])), pa.array(np.minimum(cls[a], cls[b]))], names=["a", "b"])
 
-    return dealt.groupBy("k", "key", "i", "j").applyInArrow(checked, "a long, b long").unionByName(two).distinct()
+    return dealt.groupBy("key", "i", "j").applyInArrow(checked, "a long, b long").unionByName(two).distinct()
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, bucket_limit: int = BUCKET_LIMIT, radius: int = RADIUS) -> DataFrame:
@@ -176,6 +176,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILAR
     roots = simhash.components(links(rows, classes, words, similarity, bucket_limit, radius))
     rooted = classes.join(roots, classes.cls == roots.node, "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
     rooted = written(rooted, "near-rooted")
+    discard(classes)
     least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     named = rooted.join(least, "root").select("cls", F.col("least.doc_id").alias("component_id"), F.col("least.row").alias("first"))
     return prints.select("row", "doc_id", "cls").join(named, "cls").select("row", "doc_id", "component_id", "first")
