@@ -65,7 +65,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: cuts the lineage and outlives executors."""
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables that ``written`` made and nothing reads any more: whatever came from them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:

@@ -93,13 +93,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_quality_mil, op5_language_id, op6_suffix_dedup, op7_token_files, op8_warc, op9_simhash, op10_quality_rules)}
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10's statistics alone, which SQL can say too."""
+    from meridian.llm import rules
+
+    out = rules.with_stats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_byte_bpe, op3_decontamination, op4_quality_mil, op5_language_id, op6_suffix_dedup, op7_token_files, op8_warc, op9_simhash, op10_quality_rules, quality_statistics)}
 
 #: Base 32 of a SHA-1 digest in hex: each five hex digits are four letters.
 _BASE32 = """array_to_string(list_transform(range(0, 8), lambda k: array_to_string(list_transform([15, 10, 5, 0], lambda s:
  substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(sha, CAST(5 * k + 1 AS INT), 5) AS BIGINT) >> s) & 31)::INT, 1)), '')), '')"""
 
 ORACLES: dict[str, str] = {
+    "quality_statistics": r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+ x AS (SELECT doc_id, unnest(range(1, greatest(len(ws) - 1, 1))) AS i, ws FROM w), g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM x),
+ r AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM g WHERE n > 1) GROUP BY 1),
+ l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda v: regexp_matches(v, '[^\x20\x09-\x0D]')) AS ls FROM d)
+ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars, CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+ CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(ws) < 50 OR 100 * coalesce(r.n, 0) > 50 * len(ws) AS base_failed
+ FROM w JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)""",
     "op8_warc": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
  q AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
  SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,

@@ -15,15 +15,16 @@ component_id is the smallest doc_id that is not null, null if there is none.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from meridian.llm.common import prepare, texts, written
+from meridian.llm.common import discard, prepare, texts, written
 
 WORDS, RADIUS, SEED = 4, 4, 42
 BUCKET_LIMIT = 8192
@@ -193,8 +194,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         smallest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(smallest, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(smallest.select("a", F.col("m").alias("b")))
         small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        edges = written(small, "components")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        # the edges' number and hash come with the write
+        seen = Observation(f"components-{uuid.uuid4().hex}")
+        found = written(small.observe(seen, F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("h")), "components")
+        discard(edges)
+        edges, now = found, seen.get
         if now == state:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         state = now
@@ -208,6 +212,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, b
     roots = components(links(classes.select("fp"), radius, bucket_limit))
     rooted = classes.join(roots, classes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     rooted = written(rooted, "simhash-rooted")
+    discard(classes)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     named = rooted.join(smallest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

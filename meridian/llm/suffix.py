@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meridian.llm.common import blocks, pack, partitions, prepare, ragged, sole, unpack, written
+from meridian.llm.common import blocks, discard, pack, partitions, prepare, ragged, sole, unpack, written
 
 WIDTH, GRAM = 100, 32
 #: Segments under one anchor from which on their windows are dealt out by hash instead.
@@ -705,6 +705,7 @@ def repeats(rows: DataFrame, width: int, gram: int, wide: int, local: int, block
     proofs = text.groupBy("block").cogroup(told.filter(F.col("kind") == CLAIM).groupBy("block")).applyInArrow(_prove(width), ROWS)
     checked = text.groupBy("block").cogroup(proofs.groupBy("block")).applyInArrow(_check(width), ROWS)
     found = written(checked.unionByName(told.filter(F.col("kind") != CLAIM)), "suffix-found")
+    discard(met, compared)
     return None if found.filter(F.col("kind") == LIE).limit(1).count() else found
 
 
