@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.llm import bpe, decontaminate, near, rules, suffix
-from meridian.llm.common import quoted, table, written
+from meridian.llm.common import discard, quoted, table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,6 +73,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over documents."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if i:
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
