@@ -5,7 +5,8 @@ be met with up to k = rate * n edits. Of k + 1 pieces of the item one at least s
 every exact piece hit, found by one hash pass over the text, gives a place to look; there Myers' bit-parallel
 algorithm finds the least edit distance of the whole item. Nothing within the budget is missed.
 
-The items are read in blocks of bounded size, each of which is matched against all rows.
+The items are written to the shared folder in blocks of bounded size by the executors. A task matches its rows against
+one block after the other, and holds one block and a bounded part of its rows at a time.
 
 Null and empty texts have no hits; null, empty and sign-only items are never hit. Repeated items and rows are
 answered each for itself. An item of so few bytes that rate * n is below one is met only whole and unedited.
@@ -13,6 +14,8 @@ answered each for itself. An item of so few bytes that rate * n is below one is
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -23,15 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from meridian.llm.common import broadcast_bytes, free_name, pack, prepare, quoted, unpack
+from meridian.llm.common import filesystem, free_name, fresh_dir, pack, prepare, quoted, unpack
 from meridian.llm.suffix import Prefix, mix
 
 #: Edits allowed for each byte of an item.
 RATE = 0.08
 #: Bytes of a piece that are looked up by hash, and of a piece that is shorter than that.
 SEED_BYTES, SHORT_SEED_BYTES = 12, 8
-#: Bytes of items that are matched at once.
-ITEM_BLOCK = 4 << 20
+#: Bytes of items that are matched at once, and of texts that a task holds while it goes through several blocks.
+ITEM_BLOCK, HELD_BYTES = 4 << 20, 32 << 20
 _CHUNK = 1 << 20
 
 
@@ -162,43 +165,84 @@ class Matcher:
         return out
 
 
+def _item_blocks(items: DataFrame, folder: str) -> list[str]:
+    """Writes the items' normal forms in blocks under ``folder`` and returns the blocks' names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = filesystem(folder)
+        fs.create_dir(root, recursive=True)
+        held, size, names = [], 0, []
+
+        def close() -> None:
+            nonlocal held, size
+            names.append(f"{uuid.uuid4().hex}.items")
+            with fs.open_output_stream(f"{root}/{names[-1]}") as sink:
+                sink.write(pack(held))
+            held, size = [], 0
+
+        for batch in batches:
+            for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                item = normal([text or ""])[:-1].tobytes().strip(b" ")
+                if not item:
+                    continue
+                if held and size + len(item) > block_bytes:
+                    close()
+                held.append((item_id, item))
+                size += len(item)
+        if held:
+            close()
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+
+    block_bytes = ITEM_BLOCK
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).orderBy("item_id", "text")
+    return sorted(r.name for r in rows.mapInArrow(run, "name string").collect())
+
+
+@functools.lru_cache(1)
+def _matcher(folder: str, name: str, rate: float) -> Matcher:
+    """One for a Python worker, which runs many tasks."""
+    fs, root = filesystem(folder)
+    with fs.open_input_file(f"{root}/{name}") as f:
+        return Matcher(unpack(f.read())[0], rate)
+
+
 def flag(docs: DataFrame, items: DataFrame, rate: float = RATE, out: str = "leaks") -> DataFrame:
     """docs with ``out``: an array of (item_id, distance), empty for clean rows; a column of that name is replaced."""
     spark = prepare(docs.sparkSession)
-    blocks, held, size = [], [], 0
-    for row in items.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("text")).orderBy("item_id", "text").toLocalIterator():
-        item = normal([row.text or ""])[:-1].tobytes().strip(b" ")
-        if not item:
-            continue
-        if held and size + len(item) > ITEM_BLOCK:
-            blocks.append(broadcast_bytes(spark, pack(held)))
-            held, size = [], 0
-        held.append((row.item_id, item))
-        size += len(item)
-    if held or not blocks:
-        blocks.append(broadcast_bytes(spark, pack(held)))
+    folder = fresh_dir(spark, "items")
+    names = _item_blocks(items, folder)
     others = [c for c in docs.columns if c != "text" and c.lower() != out.lower()]
     carried = F.struct(*[F.col(quoted(c)) for c in others]) if others else F.lit(None).cast("int")
-    df = docs.select(carried.alias("others"), F.col("text").cast("string").alias("text"), F.array().cast("array<struct<item_id:bigint,distance:int>>").alias("found"))
-    schema = df.schema
+    df = docs.select(carried.alias("others"), F.col("text").cast("string").alias("text"))
+    schema = T.StructType([*df.schema.fields, T.StructField("found", T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("distance", T.IntegerType())])))])
     arrow = to_arrow_schema(schema).field("found").type
 
-    def matching(block):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(unpack(block.value)[0], rate)
-            for batch in batches:
-                for start in range(0, batch.num_rows, 256):
-                    part = batch.slice(start, 256)
-                    found = matcher.match([x or "" for x in part.column(1).to_pylist()])
-                    merged = [[*(old or []), *({"item_id": i, "distance": d} for i, d in sorted(new, key=str))] for old, new in zip(part.column(2).to_pylist(), found)]
-                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(merged, arrow)], names=["others", "text", "found"])
-
-        return run
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def matched(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            texts = [[x or "" for x in b.column(1).to_pylist()] for b in held]
+            found: list[list[list]] = [[[] for _ in ts] for ts in texts]
+            for name in names:
+                matcher = _matcher(folder, name, rate)
+                for mine, ts in zip(found, texts):
+                    for start in range(0, len(ts), 256):
+                        for k, hits in enumerate(matcher.match(ts[start : start + 256])):
+                            mine[start + k] += hits
+            for b, mine in zip(held, found):
+                rows = [[{"item_id": i, "distance": d} for i, d in sorted(hits, key=str)] for hits in mine]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(rows, arrow)], names=["others", "text", "found"])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(1).nbytes
+            if len(names) == 1 or size >= HELD_BYTES:  # many blocks are worth a lot of text at once
+                yield from matched(held)
+                held, size = [], 0
+        if held:
+            yield from matched(held)
 
-    for block in blocks:
-        df = df.mapInArrow(matching(block), schema)
     text = F.col("text").cast(docs.schema["text"].dataType)
-    return df.select(*[(text if c == "text" else F.col("others")[c]).alias(c) for c in docs.columns if c.lower() != out.lower()], F.col("found").alias(out))
+    return df.mapInArrow(run, schema).select(*[(text if c == "text" else F.col("others")[c]).alias(c) for c in docs.columns if c.lower() != out.lower()], F.col("found").alias(out))
 
 
 def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
