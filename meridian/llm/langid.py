@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 
 from meridian.llm.common import broadcast_bytes, pack, prepare, unpack
 
-DOCS, DICTIONARY, LONGEST = 400, 250_000, 16_000
-CHUNK, LEVEL = 2 << 10, 9
+DOCS, DICTIONARY, LONGEST = 400, 500_000, 16_000
+CHUNK, LEVEL = 512, 9
 #: Least share by which the second encoding must be larger.
 MARGIN = 0.01
 MOST_LANGUAGES = 500
