@@ -6,8 +6,9 @@ their vectors, so two fingerprints that differ there agree under v's mask: every
 of the 2^(radius + 1) - 1 tables, for certain.
 
 Exact copies are one fingerprint before anything is compared. A table's bucket gives a spanning forest of its links,
-not its pairs. A bucket of more than ``bucket_limit`` different fingerprints is dealt out in pairs of blocks, so that
-no task holds more than two blocks and no link is lost.
+not its pairs. A bucket of more than ``bucket_limit`` different fingerprints is cut by a second family of masks, in whose
+tables its pairs meet for certain too; what is too large even then is dealt out in pairs of blocks, so that no task holds
+more than two blocks and no link is lost.
 
 Null and empty texts have the fingerprint zero and are linked like any other. Rows with a null doc_id take part; their
 component_id is the smallest doc_id that is not null, null if there is none.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meridian.llm.common import discard, prepare, texts, written
@@ -71,9 +72,10 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def masks(radius: int = RADIUS) -> list[int]:
+def masks(radius: int = RADIUS, family: int = 0) -> list[int]:
+    """The tables' masks; families deal the vectors to the positions in ways of their own, and each covers the radius."""
     size = (1 << (radius + 1)) - 1
-    vectors = [1 + (i * 7) % size for i in range(64)]
+    vectors = [1 + (i * (7 + 4 * family) + family * (3 + 5 * (i // size))) % size for i in range(64)]
     return [sum(1 << i for i, u in enumerate(vectors) if (u & v).bit_count() & 1) for v in range(1, size + 1)]
 
 
@@ -159,10 +161,31 @@ def _bucket_links(radius: int, limit: int):
 
 def links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
     """Links (a > b) between the different fingerprints ``fp`` of prints that connect all pairs within the radius."""
-    tables = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in enumerate(masks(radius))]))
-    rows = prints.select(tables.alias("t"), "fp").select("t.k", "t.key", "fp")
-    found = written(rows.repartition("k", "key").sortWithinPartitions("k", "key").mapInArrow(_bucket_links(radius, bucket_limit), "a long, b long, k int, key long"), "simhash-links")
-    large = found.filter(F.col("k").isNotNull()).select("k", "key", F.col("a").alias("fp"))
+
+    def tables(family: int) -> Column:
+        return F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key")) for k, m in enumerate(masks(radius, family))]))
+
+    def met(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Links within buckets (k, key), and the members of those that are too large; the write tells if there are any."""
+        seen = Observation(f"links-{uuid.uuid4().hex}")
+        out = rows.repartition("k", "key").sortWithinPartitions("k", "key").mapInArrow(_bucket_links(radius, bucket_limit), "a long, b long, k int, key long")
+        out = written(out.observe(seen, F.count("k").alias("n")), "simhash-links")
+        large = out.filter(F.col("k").isNotNull()).select("k", "key", F.col("a").alias("fp")) if seen.get["n"] else None
+        return out.filter(F.col("k").isNull()).select("a", "b"), large
+
+    every, large = met(prints.select(tables(0).alias("t"), "fp").select("t.k", "t.key", "fp"))
+    if large is not None:
+        # every pair of a large bucket meets again in a table of another family: 31 rows a member, however large it is
+        again = large.select(tables(1).alias("t"), "k", "key", "fp").select((F.col("k") * len(masks(radius)) + F.col("t.k")).cast("int").alias("k"), F.xxhash64("key", "t.key").alias("key"), "fp")
+        more, large = met(again)
+        every = every.unionByName(more)
+    if large is not None:
+        every = every.unionByName(_in_blocks(large, radius, bucket_limit))
+    return every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _in_blocks(large: DataFrame, radius: int, bucket_limit: int) -> DataFrame:
+    """Links (a, b) of buckets that stay too large, by pairs of blocks of their members."""
     blocks = large.groupBy("k", "key").agg(F.ceil(F.count("*") / F.lit(bucket_limit)).cast("int").alias("blocks"))
     dealt = large.join(blocks, ["k", "key"]).withColumn("i", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("k", "key", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "fp")
@@ -174,9 +197,7 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket_limit: int = BUCKET_LI
             b.append(y)
         return pa.Table.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (a, b)], names=["a", "b"])
 
-    more = dealt.groupBy("k", "key", "i", "j").applyInArrow(pair, "a long, b long")
-    every = found.filter(F.col("k").isNull()).select("a", "b").unionByName(more)
-    return every.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return dealt.groupBy("k", "key", "i", "j").applyInArrow(pair, "a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
