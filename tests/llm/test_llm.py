@@ -211,6 +211,15 @@ def test_simhash(spark, sf, limit):
     assert got == {i: (f"{p:016x}", least.get(c)) for (i, _), p, c in zip(rows, prints, roots)}
 
 
+def test_both_families_cover_and_differ():
+    one, two = simhash.masks(), simhash.masks(family=1)
+    assert len(set(one) | set(two)) > 31
+    r = random.Random(5)
+    for _ in range(3000):
+        x = sum(1 << i for i in r.sample(range(64), r.randint(0, 4)))
+        assert all(any(not m & x for m in family) for family in (one, two))
+
+
 def test_covering_masks_meet_every_pair():
     r = random.Random(1)
     ms = simhash.masks(4)
@@ -327,6 +336,36 @@ def test_decision_list(spark, sf):
     assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_rules_by_plain_counting(seed):
+    """Each rule's figures are those of the rows that no rule before it took, by its own thresholds."""
+    r = random.Random(seed)
+    rows = []
+    for _ in range(500):
+        f = {k: round(r.random(), 2) for k in rules.FEATURES}
+        f["bad"] = (f["symbol_share"] > 0.6 and f["mean_word"] < 0.7) != (r.random() < 0.02)
+        rows.append(f)
+    found = rules.learn(rows)
+    assert found and not found[-1].keeps
+    left = rows
+    for x in found:
+        hit = [f for f in left if all((f[c.feature] > c.threshold) == c.above for c in x.conditions)]
+        right = sum(f["bad"] != x.keeps for f in hit)
+        assert (len(hit), right / len(hit)) == (x.covered, x.precision)
+        assert right >= 8 and x.precision >= (0.995 if x.keeps else 0.95)
+        left = [f for f in left if f not in hit]
+
+
+def test_rules_in_spark_decide_as_the_first_match(spark, sf):
+    conditions = (rules.Condition("n_words", True, 300.0), rules.Condition("distinct_share", False, 0.6))
+    listed = [rules.Rule(conditions[:1], True, 1.0, 9), rules.Rule(conditions[1:], False, 1.0, 9), rules.Rule((rules.Condition("n_words", False, 400.0),), True, 1.0, 9)]
+    out = rules.with_stats(docs(spark, real(sf) + ODD, extra=False)).withColumn("kept", rules.kept_column(listed)).collect()
+    for r in out:
+        first = next((x.keeps for x in listed if all(c.holds(r.asDict()) for c in x.conditions)), True)
+        assert r.kept == (not r.base_failed and first)
+    assert {r.kept for r in out} == {True, False}
+
+
 def test_toxicity_chain(spark):
     r = random.Random(4)
     calm, rude, vile = [f"calm{i}" for i in range(200)], ["idiot", "fool"], ["scumword", "scumtalk"]
