@@ -2,8 +2,8 @@
 so a file becomes a partition for each ``rowsPerPartition`` rows (100,000) and a task reads its own bytes only; rows leave
 as Arrow batches. A path with a scheme is read through pyarrow's file systems.
 
-Compressed DBC files need a decoder, which is an option: ``decoder`` names a callable ``module:function`` that turns
-DBC bytes into DBF bytes. Without one a DBC file fails with a message that says so.
+Compressed DBC files are decoded by ``implode``, or by the option ``decoder``: a callable ``module:function`` that turns
+DBC bytes into DBF bytes.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StringType, StructField, StructType
 
+from meridian.sources.implode import dbf_of_dbc
+
 ENCODINGS = ("iso-8859-1", "latin1", "cp1252", "utf-8")
 
 
@@ -87,7 +89,7 @@ def contents(path: str, decoder: str | None = None) -> bytes:
     if not path.lower().endswith(".dbc"):
         return data
     if not decoder:
-        raise RuntimeError(f"{path} is compressed; name a decoder with option('decoder', 'module:function')")
+        return dbf_of_dbc(data)
     module, _, name = decoder.partition(":")
     return getattr(importlib.import_module(module), name)(data)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import sqlite3
 import time
 import uuid
@@ -55,6 +56,53 @@ class TableFormat:
 PARQUET = TableFormat()
 
 
+class CommitFormat(TableFormat):
+    """Parquet behind a log of commits: every write goes to a folder of its own, and one small file, made under the next
+    number or not at all, makes it part of the table. A write that fails is never seen, not even in part; of two writers
+    that want the same number one takes the next. ``read`` may ask for the table as of a commit."""
+
+    tries = 100
+
+    def _commits(self, spark: SparkSession, path: str) -> list[dict]:
+        log = JsonFolder(f"{path}/_commits", spark)
+        return [log.read(n) for n in log.names()]
+
+    def _commit(self, df: DataFrame, path: str, partitions: tuple[str, ...], replaces: bool) -> None:
+        spark = df.sparkSession
+        folder = f"data-{uuid.uuid4().hex}"
+        df.write.format(self.name).partitionBy(*partitions).save(f"{path}/{folder}")
+        log = JsonFolder(f"{path}/_commits", spark)
+        for _ in range(self.tries):
+            number = len(log.names())
+            if log.create(f"{number:010d}", {"folder": folder, "replaces": replaces, "partitions": list(partitions)}):
+                return
+        raise OSError(f"{path}: no commit in {self.tries} tries")
+
+    def append(self, df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
+        self._commit(df, path, partitions, False)
+
+    def overwrite(self, df: DataFrame, path: str, partitions: tuple[str, ...] = ()) -> None:
+        """Replaces the whole table; what it was can still be read as of an earlier commit."""
+        self._commit(df, path, partitions, True)
+
+    def read(self, spark: SparkSession, path: str, commit: int | None = None) -> DataFrame:
+        commits = self._commits(spark, path)[: None if commit is None else commit + 1]
+        first = max((i for i, c in enumerate(commits) if c["replaces"]), default=0)
+        folders = [f"{path}/{c['folder']}" for c in commits[first:] if super(CommitFormat, self).exists(spark, f"{path}/{c['folder']}")]
+        if not folders:
+            raise FileNotFoundError(f"{path} has no rows")
+        parts = [spark.read.format(self.name).option("mergeSchema", True).load(f) for f in folders]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p, allowMissingColumns=True)
+        return out
+
+    def exists(self, spark: SparkSession, path: str) -> bool:
+        commits = self._commits(spark, path)
+        first = max((i for i, c in enumerate(commits) if c["replaces"]), default=0)
+        return any(super(CommitFormat, self).exists(spark, f"{path}/{c['folder']}") for c in commits[first:])
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The row count comes with the write, not from a second run of the plan."""
     seen = Observation(f"rows-{uuid.uuid4().hex}")
@@ -113,13 +161,42 @@ def schema_fingerprint(df: DataFrame) -> str:
 class JsonFolder:
     """Small JSON files in a folder: a local one, or any that Hadoop knows by a scheme (through the active session)."""
 
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
+    def __init__(self, path: str, spark: SparkSession | None = None):
+        self.path, self.spark = path.rstrip("/"), spark
 
     def _fs(self) -> tuple:
-        spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+        spark = self.spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
         return (spark, *hadoop(spark, self.path))
 
+    def create(self, name: str, row: dict) -> bool:
+        """Writes a file that is not there yet; false if it is. A reader may see it empty for a moment and waits."""
+        data = json.dumps(row)
+        if "://" not in self.path:
+            folder = Path(self.path)
+            folder.mkdir(parents=True, exist_ok=True)
+            draft = folder / f".{name}.{uuid.uuid4().hex}"
+            draft.write_text(data)
+            try:
+                os.link(draft, folder / f"{name}.json")  # fails if the name is taken
+            except FileExistsError:
+                return False
+            finally:
+                draft.unlink()
+            return True
+        spark, fs, _ = self._fs()
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}.json")
+        try:
+            out = fs.create(path, False)
+        except Exception as e:
+            if fs.exists(path):
+                return False
+            raise OSError(f"{path} could not be made") from e
+        try:
+            out.write(bytearray(data.encode()))
+        finally:
+            out.close()
+        return True
+
     def write(self, name: str, row: dict) -> None:
         """Whole or not at all: a draft takes the file's name when it is complete."""
         if "://" not in self.path:
@@ -150,11 +227,16 @@ class JsonFolder:
         p = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}.json")
         if not fs.exists(p):
             return None
-        stream = fs.open(p)
-        try:
-            return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        for wait in (0.0, 0.1, 0.5, 2.0):  # a writer may just have made it
+            time.sleep(wait)
+            stream = fs.open(p)
+            try:
+                text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            finally:
+                stream.close()
+            if text:
+                return json.loads(text)
+        raise OSError(f"{p} is empty")
 
     def names(self) -> list[str]:
         if "://" not in self.path:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from meridian.plans.jobs import CircuitBreakerOpen, Ingestion, SilverPipeline, merge
 from meridian.operators import mapping
 from meridian.sources import dbf, fhir, readers, storage
+from meridian.sources import implode as codec
 from meridian.streaming import landing
 
 
@@ -78,11 +79,55 @@ def test_dbf(spark, tmp_path):
     rows = spark.read.format("dbf").load(str(tmp_path / "a.dbf")).collect()
     assert [(r.CODE, r.NAME) for r in rows] == [("007", "São"), (None, "b")]
     (tmp_path / "a.dbc").write_bytes(data[::-1])
-    with pytest.raises(RuntimeError, match="decoder"):
+    with pytest.raises(ValueError):
         dbf.contents(str(tmp_path / "a.dbc"))
     assert dbf.contents(str(tmp_path / "a.dbc"), "test_sources:decode_dbc") == data
 
 
+def implode(data: bytes, coded: bool, window: int = 6) -> bytes:
+    """A plain encoder: the longest earlier copy, else a literal."""
+    out: list[tuple[int, int]] = []
+    literal, length, distance = map(codec.codes, (codec._LITERALS, codec._LENGTHS, codec._DISTANCES))
+    at = 0
+    while at < len(data):
+        size, back = max(((n, b) for b in range(1, min(at, 200) + 1) for n in (next((k for k in range(min(40, len(data) - at)) if data[at + k] != data[at + k - b]), min(40, len(data) - at)),)), default=(0, 0))
+        if size >= 2:
+            which = next(k for k in range(16) if codec._BASE[k] <= size < codec._BASE[k] + (1 << codec._EXTRA[k]))
+            low = 2 if size == 2 else window
+            out += [(1, 1), length[which], (size - codec._BASE[which], codec._EXTRA[which]), distance[(back - 1) >> low], ((back - 1) & ((1 << low) - 1), low)]
+            at += size
+        else:
+            out += [(0, 1), literal[data[at]] if coded else (data[at], 8)]
+            at += 1
+    out += [(1, 1), length[15], (255, 8)]
+    bits, n = 0, 0
+    for x, k in out:
+        bits, n = bits | x << n, n + k
+    return bytes([coded, window]) + bits.to_bytes((n + 7) // 8, "little")
+
+
+def test_implode():
+    assert codec.explode(bytes.fromhex("00048224258f807f")) == b"AIAIAIAIAIAIA"
+    for packed in (codec._LITERALS, codec._LENGTHS, codec._DISTANCES):  # each is a whole prefix code
+        assert sum(2.0**-n for n in codec.lengths(packed)) == 1
+    every = bytes(range(256))
+    for data in (b"", b"a", b"aaaaaaaaaaaa", every, every * 2 + b"tail" * 30, "não é nada, não é".encode("latin1") * 9):
+        for coded in (False, True):
+            for window in (4, 5, 6):
+                assert codec.explode(implode(data, coded, window)) == data
+    with pytest.raises(ValueError):
+        codec.explode(implode(b"some text", True)[:6])
+
+
+def test_dbc(spark, tmp_path):
+    data = dbf_bytes([(str(i), "name", i % 4 == 0) for i in range(40)])
+    size = 32 + 32 * 2 + 1
+    (tmp_path / "a.dbc").write_bytes(data[:size] + b"\0\0\0\0" + implode(data[size:], True))
+    spark.dataSource.register(dbf.DbfSource)
+    df = spark.read.format("dbf").load(str(tmp_path / "a.dbc"))
+    assert df.columns == ["CODE", "NAME"] and sorted(int(r.CODE) for r in df.collect()) == [i for i in range(40) if i % 4]
+
+
 def test_fhir_generator(spark):
     b = fhir.bundles(spark, 5, 3, seed=1)
     rows = fhir.flatten(b)
@@ -118,6 +163,30 @@ def test_bronze(spark, tmp_path):
     assert spark.read.parquet(stats["table_path"]).count() == 3
 
 
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_commit_format(spark, tmp_path, scheme):
+    fmt, path = storage.CommitFormat(), f"{scheme}{tmp_path}/t"
+    w = storage.BronzeWriter(f"{scheme}{tmp_path}", fmt)
+    assert not fmt.exists(spark, path)
+    where = w.write(bronze_rows(spark), META)["table_path"]
+    w.write(bronze_rows(spark).withColumn("more", F.lit("x")), META | {"month": 2})
+    t = fmt.read(spark, where)
+    assert t.count() == 6 and t.filter("month = 2 and more = 'x'").count() == 3 and fmt.read(spark, where, 0).count() == 3
+    broken = bronze_rows(spark).withColumn("value", F.when(F.col("value") == 2, F.raise_error(F.lit("stop")).cast("int")).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="stop"):
+        w.write(broken, META)
+    assert fmt.read(spark, where).count() == 6
+    log = storage.JsonFolder(f"{where}/_commits", spark)
+    assert log.names() == ["0000000000", "0000000001"] and not log.create("0000000001", {}) and log.read("0000000001")["folder"]
+    w.write(bronze_rows(spark).limit(1), META, idempotent=True)
+    assert fmt.read(spark, where).count() == 1 and fmt.read(spark, where, 1).count() == 6
+    p = SilverPipeline(spark, "s", storage.SilverWriter(f"{scheme}{tmp_path}/s", fmt))
+    p.transform_dataframe(readers.sample_plans(spark), "ans_data")
+    p.transform_dataframe(readers.sample_plans(spark), "ans_data")
+    assert fmt.read(spark, f"{scheme}{tmp_path}/s/dim_health_plans").count() == 10
+    assert w.write(bronze_rows(spark).limit(0), META | {"subsystem": "none"})["rows_written"] == 0 and not fmt.exists(spark, f"{scheme}{tmp_path}/datasus/none")
+
+
 def test_silver(spark, tmp_path):
     ds = mapping.CanonicalDataset(dim_patients=spark.createDataFrame([("m", "male")], "patient_master_id string, gender string"), fct_conditions=spark.createDataFrame([], "condition_id string"))
     w = storage.SilverWriter(str(tmp_path))
