@@ -555,4 +555,4 @@ def export_labels(orders):
     return labelled(rows, "fct_encounters").drop("discharge_disposition")
 
 
-from meridian.plans import mapper_queries  # noqa: E402, F401 - registers its own
+from meridian.plans import io_queries, mapper_queries  # noqa: E402, F401 - they register their own
