@@ -194,8 +194,10 @@ def _item_blocks(items: DataFrame, folder: str) -> list[str]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
 
     block_bytes = ITEM_BLOCK
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).orderBy("item_id", "text")
-    return sorted(r.name for r in rows.mapInArrow(run, "name string").collect())
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    # as many tasks as blocks, however the table is dealt over files: every block is a pass over the documents
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return sorted(r.name for r in rows.coalesce(max(1, -(-size // block_bytes))).mapInArrow(run, "name string").collect())
 
 
 @functools.lru_cache(1)
