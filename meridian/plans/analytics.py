@@ -27,6 +27,11 @@ def _rate(flag: Column) -> Column:
     return share(F.count_if(flag), F.count("*"))
 
 
+def _hospitals() -> Column:
+    """A patient's different hospitals: a set for each patient, where a distinct count would shuffle every row once more."""
+    return F.size(F.collect_set("organization_id")).cast("long")
+
+
 def _mean(c: str) -> Column:
     return F.try_divide(total(c), F.count(c))
 
@@ -118,14 +123,14 @@ def journey_details(encounters: DataFrame, conditions: DataFrame, procedures: Da
 def expired_journeys(encounters: DataFrame) -> DataFrame:
     """Patients who died, with more than one encounter or hospital."""
     died = encounters.filter(expired()).select("patient_master_id").distinct()
-    per = encounters.join(died, "patient_master_id", "left_semi").groupBy("patient_master_id").agg(F.count("*").alias("encounters"), F.countDistinct("organization_id").alias("hospitals"))
+    per = encounters.join(died, "patient_master_id", "left_semi").groupBy("patient_master_id").agg(F.count("*").alias("encounters"), _hospitals().alias("hospitals"))
     return per.filter("encounters > 1 or hospitals > 1").orderBy(F.desc("hospitals"), F.desc("encounters"), "patient_master_id")
 
 
 def alive_then_expired(encounters: DataFrame, k: int | None = 1) -> DataFrame:
     """Patients whose first encounter ended alive and whose last one did not, over several hospitals."""
     at = F.struct("period_start", "encounter_id")
-    per = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(F.min_by("discharge_disposition", at).alias("first"), F.max_by("discharge_disposition", at).alias("last"), F.countDistinct("organization_id").alias("hospitals"))
+    per = encounters.filter("patient_master_id is not null").groupBy("patient_master_id").agg(F.min_by("discharge_disposition", at).alias("first"), F.max_by("discharge_disposition", at).alias("last"), _hospitals().alias("hospitals"))
     out = per.filter("first = 'discharged_alive' and last = 'expired' and hospitals > 1").orderBy("patient_master_id")
     return out.limit(k) if k else out
 

@@ -30,14 +30,12 @@ _CODES = [*list(tables.DIAGNOSES)[:16], "O80.0", "O82.1", "O84.9", "T88.7", "T88
 _CASES = " ".join(f"WHEN c BETWEEN '{a}' AND '{b}' THEN '{name}'" for name, (a, b, _) in tables.CHAPTERS.items())
 
 
-def _encounter_columns(number: Column) -> list[Column]:
-    code = nth(_CODES, number)
-    return [code.alias("primary_diagnosis_code"), terminology.chapter_of(F.substring(code, 1, 3))["chapter"].alias("chapter")]
+def _chapter(code: str | None) -> str | None:
+    return code and next((name for name, (first, last, _) in tables.CHAPTERS.items() if first <= code[:3] <= last), "UNKNOWN")
 
 
-def _coded(rows: DataFrame) -> DataFrame:
-    """The chapter of a code, null without one."""
-    return rows.withColumn("primary_diagnosis_chapter", F.when(F.col("primary_diagnosis_code").isNotNull(), F.col("chapter"))).drop("chapter")
+def _coded(number: Column) -> list[Column]:
+    return [nth(_CODES, number).alias("primary_diagnosis_code"), nth([_chapter(c) for c in _CODES], number).alias("primary_diagnosis_chapter")]
 
 
 def _disposition() -> Column:
@@ -47,12 +45,11 @@ def _disposition() -> Column:
 def _encounters(orders: DataFrame) -> DataFrame:
     """Orders as encounters: hospital, code and days follow from the key; status P has no disposition yet."""
     k = F.col("o_orderkey")
-    rows = orders.select(
+    return orders.select(
         k.cast("string").alias("encounter_id"), F.col("o_custkey").cast("string").alias("patient_id"), F.col("o_custkey").cast("string").alias("patient_master_id"),
         F.concat(F.lit("org_cnes_"), (k % 40).cast("string")).alias("organization_id"), F.col("o_orderpriority").alias("encounter_class"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("period_start"),
-        F.when(k % 19 != 0, k % 37).cast("int").alias("length_of_stay_days"), F.col("o_totalprice").alias("total_cost_brl"), _disposition().alias("discharge_disposition"), *_encounter_columns(k),
+        F.when(k % 19 != 0, k % 37).cast("int").alias("length_of_stay_days"), F.col("o_totalprice").alias("total_cost_brl"), _disposition().alias("discharge_disposition"), *_coded(k),
     )
-    return _coded(rows)
 
 
 _E = f"""(SELECT *, CASE WHEN primary_diagnosis_code IS NOT NULL THEN CASE {_CASES} ELSE 'UNKNOWN' END END AS primary_diagnosis_chapter FROM (SELECT *, substr(primary_diagnosis_code, 1, 3) AS c FROM
@@ -63,11 +60,10 @@ _E = f"""(SELECT *, CASE WHEN primary_diagnosis_code IS NOT NULL THEN CASE {_CAS
 
 def _stays(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines as hospital stays: supplier as hospital, days from order to shipping."""
-    rows = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("encounter_id"), F.col("o_custkey").cast("string").alias("patient_master_id"), F.concat(F.lit("org_cnes_"), F.col("l_suppkey").cast("string")).alias("organization_id"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("period_start"), F.date_diff("l_shipdate", "o_orderdate").alias("length_of_stay_days"), F.col("l_extendedprice").alias("total_cost_brl"), _disposition().alias("discharge_disposition"), *_encounter_columns(F.col("l_partkey")),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("period_start"), F.date_diff("l_shipdate", "o_orderdate").alias("length_of_stay_days"), F.col("l_extendedprice").alias("total_cost_brl"), _disposition().alias("discharge_disposition"), *_coded(F.col("l_partkey")),
     )
-    return _coded(rows)
 
 
 _S = f"""(SELECT *, CASE WHEN primary_diagnosis_code IS NOT NULL THEN CASE {_CASES} ELSE 'UNKNOWN' END END AS primary_diagnosis_chapter FROM (SELECT *, substr(primary_diagnosis_code, 1, 3) AS c FROM
